@@ -37,13 +37,11 @@ def read_tsv(
             .option("columnPruning", False)
         )
     df = reader.schema(T.StructType(fields)).csv(path)
-    df = df.select(*[filled(n).alias(n) for n in names], *([corrupt_column] if corrupt_column else []))
-    if drop_repeated_header and names:
-        is_header = F.lit(True)
-        for n in names:
-            is_header = is_header & (F.col(n) == n)
-        df = df.filter(~is_header)
-    return df
+    if drop_repeated_header:
+        # On the columns as read, before they get new aliases: a condition over
+        # many aliased columns makes the optimiser derive one per combination.
+        df = df.filter(F.concat_ws("\t", *names) != "\t".join(names))
+    return df.select(*[filled(n).alias(n) for n in names], *([corrupt_column] if corrupt_column else []))
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
