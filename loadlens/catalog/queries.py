@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens import constants as K
-from loadlens.functions import cleaning, files, keys
+from loadlens.functions import cleaning, files
 from loadlens.functions.bins import nearest_edge
 from loadlens.operators import evaluate, groups, histogram, ranks, segments, split, trim
 from loadlens.operators.profile import column_profile
@@ -27,6 +27,9 @@ CAP = 187.0
 PER_BIN = 500
 AFTER, BEFORE = 1704100000, 1706500000
 
+_SCREEN = ["TOPMOSTREACHABLEWINDOWWIDTH", "TOPMOSTREACHABLEWINDOWHEIGHT"]
+_KEYS = ["COMBINEDID", "COMBINEDEXTERNALID", "PLATFORMCOMBINED", "UA_OSCOMB"]
+
 _registry: dict[str, Query] = {}
 
 
@@ -39,11 +42,28 @@ def all_queries() -> dict[str, Query]:
     return dict(_registry)
 
 
-def _typed(spark: SparkSession, folder: str) -> DataFrame:
-    ads = impressions(spark, folder)
+def _typed(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    ads = impressions(spark, folder, list(columns) if columns else None)
     return ads.withColumns(prepare.numeric_columns(ads))
 
 
+def _target(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    return _typed(spark, folder, K.KEY, K.TARGET, *more)
+
+
+def _prepared(spark: SparkSession, folder: str, columns: list[str], profile: str = "production", trim=K.NO_TRIM) -> DataFrame:
+    """Key, target and the named raw or derived columns."""
+    reads = prepare.inputs_of(profile, [K.KEY, K.TARGET, *columns])
+    df = prepare.prepare(impressions(spark, folder, reads), profile, trim)
+    return df.select(K.KEY, K.TARGET, *columns)
+
+
+def _featured(spark: SparkSession, folder: str, profile: str, columns: list[str]) -> DataFrame:
+    """Key and the named raw or derived text columns, without numbers."""
+    ads = impressions(spark, folder, prepare.inputs_of(profile, [K.KEY, *columns]))
+    return prepare.add_features(ads, profile).select(K.KEY, *columns)
+
+
 def _r(c: Column | str, name: str) -> Column:
     return F.round(c, 4).alias(name)
 
@@ -58,13 +78,12 @@ def _with_group_mean(df: DataFrame, key: str, out: str = "prediction") -> DataFr
 
 @_query
 def null_literal_cast(spark, folder):
-    df = _typed(spark, folder)
-    return df.select(K.KEY, *K.DOUBLE_COLUMNS, *K.LONG_COLUMNS)
+    return _typed(spark, folder, K.KEY, *K.DOUBLE_COLUMNS, *K.LONG_COLUMNS)
 
 
 @_query
 def null_text_replaced(spark, folder):
-    ads = impressions(spark, folder)
+    ads = impressions(spark, folder, [K.KEY, "GEOIP_LAT", "PLATFORM"])
     return ads.select(
         K.KEY,
         cleaning.replace_null_text("GEOIP_LAT", "0").alias("lat_text"),
@@ -74,7 +93,8 @@ def null_text_replaced(spark, folder):
 
 @_query
 def range_filters(spark, folder):
-    df = _typed(spark, folder).withColumn("TOPMOSTREACHABLEWINDOWAREA", prepare.window_area())
+    df = _typed(spark, folder, K.KEY, "TIMESTAMP", *_SCREEN)
+    df = df.withColumn("TOPMOSTREACHABLEWINDOWAREA", prepare.window_area())
     df = trim.keep_range(df, "TOPMOSTREACHABLEWINDOWAREA", at_least=K.AREA_MIN, below=K.AREA_BELOW)
     df = trim.keep_range(df, "TIMESTAMP", above=AFTER, below=BEFORE)
     return df.select(K.KEY, "TOPMOSTREACHABLEWINDOWAREA", "TIMESTAMP")
@@ -82,7 +102,7 @@ def range_filters(spark, folder):
 
 @_query
 def audit_counts(spark, folder):
-    df = _typed(spark, folder)
+    df = _typed(spark, folder, "TIMESTAMP", *_SCREEN)
     area, time = prepare.window_area(), F.col("TIMESTAMP")
     return trim.audit(
         df,
@@ -97,19 +117,17 @@ def audit_counts(spark, folder):
 
 @_query
 def hard_cap(spark, folder):
-    return trim.cap_below(_typed(spark, folder), K.TARGET, CAP).select(K.KEY, K.TARGET)
+    return trim.cap_below(_target(spark, folder), K.TARGET, CAP)
 
 
 @_query
 def null_key_filter(spark, folder):
-    ads = impressions(spark, folder)
-    ads = ads.withColumn("PLATFORMCOMBINED", keys.joined("PLATFORM", "PLATFORMVERSION", sep="_"))
-    return trim.drop_key(ads, "PLATFORMCOMBINED", "null_null").select(K.KEY, "PLATFORMCOMBINED")
+    return trim.drop_key(_featured(spark, folder, "explore", ["PLATFORMCOMBINED"]), "PLATFORMCOMBINED", "null_null")
 
 
 @_query
 def trim_percentiles(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder)
     percents = [K.TRIM_EXPLORE, K.TRIM_TRAIN, K.TRIM_VALIDATION, K.TRIM_FILE_SIZE]
     limits = ranks.percentiles(df, K.TARGET, percents)
     kept = df.agg(*[F.count_if(F.col(K.TARGET) < t) for t in limits]).first()
@@ -132,7 +150,6 @@ def trim_line_items(spark, folder):
 
 @_query
 def combined_ids_explore(spark, folder):
-    features = prepare.explore_columns()
     names = [
         "COMBINEDID",
         "COMBINEDIDWITHPLACEMENTID",
@@ -142,38 +159,33 @@ def combined_ids_explore(spark, folder):
         "UA_OSCOMB",
         "UA_BROWSERCOMB",
     ]
-    return impressions(spark, folder).select(K.KEY, *[features[n].alias(n) for n in names])
+    return _featured(spark, folder, "explore", names)
 
 
 @_query
 def combined_ids_production(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
-    return df.select(K.KEY, "COMBINEDID", "COMBINEDEXTERNALID", "PLATFORMCOMBINED", "UA_OSCOMB")
+    return _featured(spark, folder, "production", _KEYS)
 
 
 @_query
 def combined_ids_spark(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "spark")
-    return df.select(K.KEY, "COMBINEDID", "COMBINEDEXTERNALID", "PLATFORMCOMBINED", "UA_OSCOMB")
+    return _featured(spark, folder, "spark", _KEYS)
 
 
 @_query
 def geo_country_region(spark, folder):
-    place = keys.country_region("GEOIP_COUNTRY", "GEOIP_REGION")
-    return impressions(spark, folder).select(K.KEY, place.alias("GEOIP_COUNTRY"))
+    return _featured(spark, folder, "production", ["GEOIP_COUNTRY"])
 
 
 @_query
 def quote_strip(spark, folder):
-    return impressions(spark, folder).select(
-        K.KEY, *[cleaning.without_quotes(c).alias(c) for c in ("ERRORSJSON", "FILESJSON")]
-    )
+    return _featured(spark, folder, "production", ["ERRORSJSON", "FILESJSON"])
 
 
 @_query
 def file_sizes_tokens(spark, folder):
     bare = cleaning.without_quotes("FILESJSON")
-    return impressions(spark, folder).select(
+    return impressions(spark, folder, [K.KEY, "FILESJSON"]).select(
         K.KEY,
         files.image_size(bare).alias("image_size"),
         files.video_size(bare).alias("video_size"),
@@ -183,12 +195,13 @@ def file_sizes_tokens(spark, folder):
 
 @_query
 def file_sizes_total(spark, folder):
-    return impressions(spark, folder).select(K.KEY, files.total_size("FILESJSON").alias("total_size"))
+    ads = impressions(spark, folder, [K.KEY, "FILESJSON"])
+    return ads.select(K.KEY, files.total_size("FILESJSON").alias("total_size"))
 
 
 @_query
 def file_sizes_json(spark, folder):
-    return impressions(spark, folder).select(
+    return impressions(spark, folder, [K.KEY, "FILESJSON"]).select(
         K.KEY,
         files.json_size("FILESJSON", "image").alias("image_size"),
         files.json_size("FILESJSON", "video").alias("video_size"),
@@ -198,7 +211,7 @@ def file_sizes_json(spark, folder):
 
 @_query
 def equality_flags(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _featured(spark, folder, "production", ["INTENDENTISACTUALDEVICETYPE", "PLATFORMCOMBINEDISOSCAOMB"])
     flag = F.col("INTENDENTISACTUALDEVICETYPE")
     return df.select(K.KEY, flag, flag.cast("int").alias("same_device_int"), "PLATFORMCOMBINEDISOSCAOMB")
 
@@ -210,8 +223,7 @@ def prepare_production(spark, folder):
 
 @_query
 def prepare_spark(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "spark", trim=K.TRIM_TRAIN)
-    return df.select(K.KEY, K.TARGET, *K.FEATURES_SPARK)
+    return _prepared(spark, folder, K.FEATURES_SPARK, "spark", K.TRIM_TRAIN)
 
 
 @_query
@@ -226,13 +238,12 @@ def drop_columns(spark, folder):
 
 @_query
 def select_features(spark, folder):
-    df = impressions(spark, folder).withColumns(prepare.explore_columns())
-    return df.select(K.KEY, *K.FEATURES_LR)
+    return _featured(spark, folder, "explore", K.FEATURES_LR)
 
 
 @_query
 def constant_and_shift(spark, folder):
-    df = _typed(spark, folder).withColumn("constant", cleaning.constant(K.BASELINE_CONSTANT))
+    df = _target(spark, folder).withColumn("constant", cleaning.constant(K.BASELINE_CONSTANT))
     df = evaluate.shifted(df.withColumn("shifted", F.col(K.TARGET)), "shifted", K.SCORE_SHIFT)
     return df.select(K.KEY, "constant", _r("shifted", "shifted"))
 
@@ -242,14 +253,14 @@ def constant_and_shift(spark, folder):
 
 @_query
 def placement_stats(spark, folder):
-    df = trim.trim_above_percentile(_typed(spark, folder), K.TARGET, K.TRIM_EXPLORE)
+    df = trim.trim_above_percentile(_target(spark, folder, "PLACEMENTID"), K.TARGET, K.TRIM_EXPLORE)
     spread = groups.group_spread(df, ["PLACEMENTID"], K.TARGET)
     return spread.select("PLACEMENTID", "n", _r("mean", "mean"), _r("median", "median"), _r("std", "std"))
 
 
 @_query
 def group_divider_stats(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, K.SEGMENT_KEYS_WIDE)
     spread = groups.group_spread(df, K.SEGMENT_KEYS_WIDE, K.TARGET)
     return spread.select(*K.SEGMENT_KEYS_WIDE, "n", _r("median", "median"), _r("std", "std"))
 
@@ -263,15 +274,15 @@ def line_item_spread(spark, folder):
 
 @_query
 def feature_group_means(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
     features = ["COMBINEDID", "PLACEMENTID", "FILESJSON", "PLATFORMCOMBINED", "UA_BROWSER"]
+    df = _prepared(spark, folder, features)
     means = groups.group_means(df, features, K.TARGET)
     return means.select("feature", "level", "n", _r("mean", "mean"))
 
 
 @_query
 def global_stats(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder)
     (middle,) = ranks.percentiles(df, K.TARGET, [50.0])
     return df.agg(
         F.count("*").alias("n_rows"), _r(F.avg(K.TARGET), "mean"), F.max(K.TARGET).alias("max"), _r(F.lit(middle), "median")
@@ -280,13 +291,13 @@ def global_stats(spark, folder):
 
 @_query
 def label_index(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "spark")
+    df = _featured(spark, folder, "spark", K.FEATURES_SPARK_CATEGORICAL)
     return groups.label_index(df, K.FEATURES_SPARK_CATEGORICAL)
 
 
 @_query
 def encode_rows(spark, folder):
-    ads = impressions(spark, folder)
+    ads = impressions(spark, folder, [K.KEY, "UA_MODEL", "UA_VENDOR"])
     index = groups.label_index(ads, ["UA_MODEL", "UA_VENDOR"])
     for c in ("UA_MODEL", "UA_VENDOR"):
         ads = groups.encode_labels(ads, c, index, f"_{c}")
@@ -304,7 +315,7 @@ def profile_columns(spark, folder):
 
 @_query
 def baseline_rmse(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder)
     mean = evaluate.baseline_rmse(df, K.TARGET).withColumn("baseline", F.lit("mean"))
     fixed = evaluate.baseline_rmse(df, K.TARGET, K.BASELINE_CONSTANT).withColumn("baseline", F.lit("constant"))
     return mean.unionByName(fixed).select("baseline", "n", _r("mean", "mean"), _r("rmse", "rmse"))
@@ -312,7 +323,7 @@ def baseline_rmse(spark, folder):
 
 @_query
 def rmse_shifted(spark, folder):
-    df = _with_group_mean(_typed(spark, folder), "PLACEMENTID")
+    df = _with_group_mean(_target(spark, folder, "PLACEMENTID"), "PLACEMENTID")
     df = histogram.absolute_error(df, K.TARGET, "prediction")
     moved = F.col("prediction") + K.SCORE_SHIFT
     return df.agg(
@@ -325,21 +336,21 @@ def rmse_shifted(spark, folder):
 
 @_query
 def hist_fixed(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder)
     edges = histogram.edges_for(df, K.TARGET, WIDTH)
     return histogram.histogram(df, K.TARGET, WIDTH, edges=edges)
 
 
 @_query
 def hist_overlay(spark, folder):
-    df = _with_group_mean(_typed(spark, folder), "CREATIVEID")
+    df = _with_group_mean(_target(spark, folder, "CREATIVEID"), "CREATIVEID")
     edges = histogram.edges_for(df, K.TARGET, WIDTH, whole="int")
     return histogram.histogram(df, [K.TARGET, "prediction"], WIDTH, edges=edges)
 
 
 @_query
 def hist_group_medians(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, K.SEGMENT_KEYS)
     medians = groups.group_spread(df, K.SEGMENT_KEYS, K.TARGET).select("median")
     edges = histogram.edges_for(medians, "median", WIDTH)
     return histogram.histogram(medians, "median", WIDTH, edges=edges)
@@ -347,21 +358,21 @@ def hist_group_medians(spark, folder):
 
 @_query
 def nearest_edges(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder)
     edges = histogram.edges_for(df, K.TARGET, WIDTH)
     return df.select(K.KEY, nearest_edge(F.col(K.TARGET), WIDTH, edges).alias("bin"))
 
 
 @_query
 def error_profile(spark, folder):
-    df = _with_group_mean(_typed(spark, folder), "PLACEMENTID")
+    df = _with_group_mean(_target(spark, folder, "PLACEMENTID"), "PLACEMENTID")
     profile = histogram.error_profile(df, K.TARGET, "prediction", WIDTH)
     return profile.withColumn("mean_abs_error", F.round("mean_abs_error", 4))
 
 
 @_query
 def error_profile_pooled(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder, "SDK", "PLACEMENTID")
     parts = segments.split_by_flag(df.withColumn("mraid", F.col("SDK") == "MRAID"), "mraid")
     scored = [_with_group_mean(part, "PLACEMENTID") for part in parts]
     profile = histogram.pooled_error_profile(scored, K.TARGET, "prediction", WIDTH)
@@ -373,7 +384,7 @@ def error_profile_pooled(spark, folder):
 
 @_query
 def hash_split(spark, folder):
-    first, second = split.hash_split(impressions(spark, folder), K.KEY, 0.5)
+    first, second = split.hash_split(impressions(spark, folder, [K.KEY]), K.KEY, 0.5)
     return first.select(K.KEY, F.lit("train").alias("part")).unionByName(
         second.select(K.KEY, F.lit("test").alias("part"))
     )
@@ -386,7 +397,7 @@ def random_sample(spark, folder):
 
 @_query
 def random_halves(spark, folder):
-    first, second = split.random_halves(impressions(spark, folder).select(K.KEY, "ADLOADINGTIME"))
+    first, second = split.random_halves(impressions(spark, folder, [K.KEY, K.TARGET]))
     return first.withColumn("part", F.lit("train")).unionByName(second.withColumn("part", F.lit("test")))
 
 
@@ -396,24 +407,24 @@ def _slow(df: DataFrame) -> DataFrame:
 
 @_query
 def slow_group_keys(spark, folder):
-    return _slow(prepare.prepare(impressions(spark, folder), "production"))
+    return _slow(_prepared(spark, folder, K.SEGMENT_KEYS))
 
 
 @_query
 def slow_group_semi(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
-    return segments.rows_in(df, _slow(df), K.SEGMENT_KEYS).select(K.KEY, *K.SEGMENT_KEYS, K.TARGET)
+    df = _prepared(spark, folder, K.SEGMENT_KEYS)
+    return segments.rows_in(df, _slow(df), K.SEGMENT_KEYS)
 
 
 @_query
 def slow_group_anti(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
-    return segments.rows_not_in(df, _slow(df), K.SEGMENT_KEYS).select(K.KEY, *K.SEGMENT_KEYS, K.TARGET)
+    df = _prepared(spark, folder, K.SEGMENT_KEYS)
+    return segments.rows_not_in(df, _slow(df), K.SEGMENT_KEYS)
 
 
 @_query
 def slow_flag(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, K.SEGMENT_KEYS)
     flagged = segments.flag_rows(df, _slow(df), K.SEGMENT_KEYS)
     fast, slow = segments.split_by_flag(flagged, "is_slow")
     return fast.unionByName(slow).select(K.KEY, "is_slow")
@@ -421,7 +432,7 @@ def slow_flag(spark, folder):
 
 @_query
 def segment_rmse_pooled(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, K.SEGMENT_KEYS)
     flagged = segments.flag_rows(df, _slow(df), K.SEGMENT_KEYS)
     parts = [_with_group_mean(part, "PLACEMENTID") for part in segments.split_by_flag(flagged, "is_slow")]
     names = ["fast", "slow"]
@@ -431,7 +442,7 @@ def segment_rmse_pooled(spark, folder):
 
 
 def _copies(spark: SparkSession, folder: str, mode: str) -> DataFrame:
-    df = _typed(spark, folder).select(K.KEY, K.TARGET)
+    df = _target(spark, folder)
     return (
         rebalance(df, K.TARGET, K.KEY, WIDTH, PER_BIN, mode=mode).groupBy(K.KEY, "bin").agg(F.count("*").alias("copies"))
     )
@@ -449,9 +460,9 @@ def rebalance_clean(spark, folder):
 
 @_query
 def first_k_per_bin(spark, folder):
-    df = _typed(spark, folder)
+    df = _target(spark, folder)
     edges = histogram.edges_for(df, K.TARGET, WIDTH)
-    df = df.select(K.KEY, K.TARGET, nearest_edge(F.col(K.TARGET), WIDTH, edges).alias("bin"))
+    df = df.select("*", nearest_edge(F.col(K.TARGET), WIDTH, edges).alias("bin"))
     return ranks.first_rows(df, ["bin"], K.KEY, 5)
 
 
@@ -462,7 +473,7 @@ def first_row(spark, folder):
 
 @_query
 def union_append(spark, folder):
-    df = _typed(spark, folder).select(K.KEY, K.TARGET)
+    df = _target(spark, folder)
     return df.unionByName(df.filter(F.col(K.TARGET) >= CAP))
 
 
@@ -479,7 +490,7 @@ def tsv_roundtrip(spark, folder):
 @_query
 def predictions_roundtrip(spark, folder):
     path = scratch_path(spark, "predictions")
-    scored = _typed(spark, folder).select(K.KEY, F.round(F.col(K.TARGET) + K.SCORE_SHIFT, 4).alias("prediction"))
+    scored = _target(spark, folder).select(K.KEY, F.round(F.col(K.TARGET) + K.SCORE_SHIFT, 4).alias("prediction"))
     tsv.write_predictions(scored, path, K.KEY)
     back = tsv.read_tsv(spark, path)
     return back.select(F.col(K.KEY).try_cast("bigint").alias(K.KEY), F.col("prediction").try_cast("double").alias("prediction"))
@@ -499,7 +510,7 @@ def lr_single_numeric(spark, folder):
 
 @_query
 def lr_single_categorical(spark, folder):
-    df = _typed(spark, folder).select(K.KEY, K.TARGET, "PLACEMENTID")
+    df = _target(spark, folder, "PLACEMENTID")
     train, test = split.hash_split(df, K.KEY, 0.5)
     scored = models.fit_linear(train, ["PLACEMENTID"]).predict(test, keep=[K.KEY])
     return scored.select(K.KEY, _r("prediction", "prediction"))
@@ -507,32 +518,30 @@ def lr_single_categorical(spark, folder):
 
 @_query
 def feature_comparison(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
-    train, test = split.hash_split(df, K.KEY, 0.5)
     names = ["COMBINEDID", "PLACEMENTID", "UA_VENDOR", "UA_MODEL", "UA_OS", "PLATFORMCOMBINED", "COMBINEDEXTERNALID"]
+    train, test = split.hash_split(_prepared(spark, folder, names), K.KEY, 0.5)
     return flows.compare_features(train, test, {n: [n] for n in names}).withColumn("rmse", F.round("rmse", 4))
 
 
 @_query
 def ablation_scan(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
-    train, test = split.hash_split(df, K.KEY, 0.5)
     numbers = ["TIMESTAMP", "TOPMOSTREACHABLEWINDOWAREA", "FILESJSON_IMGSIZE", "FILESJSON_VIDSIZE", "GEOIP_LNG"]
+    train, test = split.hash_split(_prepared(spark, folder, ["PLACEMENTID", *numbers]), K.KEY, 0.5)
     scan = flows.add_one_scan(train, test, ["PLACEMENTID"], numbers)
     return scan.withColumn("rmse", F.round("rmse", 4))
 
 
 @_query
 def ablation_scan_text(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
-    train, test = split.hash_split(df, K.KEY, 0.5)
-    return flows.add_one_scan(train, test, ["COMBINEDID"], ["UA_BROWSERVERSION", "UA_VENDOR", "CREATIVETYPE"])
+    added = ["UA_BROWSERVERSION", "UA_VENDOR", "CREATIVETYPE"]
+    train, test = split.hash_split(_prepared(spark, folder, ["COMBINEDID", *added]), K.KEY, 0.5)
+    return flows.add_one_scan(train, test, ["COMBINEDID"])
 
 
 @_query
 def null_key_exclusion(spark, folder):
-    df = impressions(spark, folder)
-    df = df.withColumns(prepare.numeric_columns(df)).withColumns(prepare.explore_columns())
+    df = _target(spark, folder, *prepare.inputs_of("explore", ["COMBINEDID", "PLATFORMCOMBINED"]))
+    df = prepare.add_features(df, "explore")
     train, test = split.hash_split(df, K.KEY, 0.5)
     sets = {"COMBINEDID": ["COMBINEDID"], "PLATFORMCOMBINED": ["PLATFORMCOMBINED"]}
     result = flows.without_key(train, test, "PLATFORMCOMBINED", "null_null", sets)
@@ -541,7 +550,7 @@ def null_key_exclusion(spark, folder):
 
 @_query
 def segmented_models(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, ["PLACEMENTID", "CREATIVETYPE"])
     scored = flows.segmented_models(
         df, ["PLACEMENTID"], group_keys=["PLACEMENTID", "CREATIVETYPE"], above=SLOW, cap=CAP
     )
@@ -550,7 +559,7 @@ def segmented_models(spark, folder):
 
 @_query
 def segmented_forests(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, K.FEATURES_RF)
 
     def forest(depth):
         return lambda rows, names: models.fit_forest(rows, names, trees=10, depth=depth, rows=0.5)
@@ -568,7 +577,7 @@ def segmented_forests(spark, folder):
 
 @_query
 def rf_predict(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "spark", trim=K.TRIM_TRAIN)
+    df = _prepared(spark, folder, K.FEATURES_SPARK, "spark", K.TRIM_TRAIN)
     train, test = split.hash_split(df, K.KEY, 0.5)
     model = models.fit_forest(train, K.FEATURES_SPARK, trees=10, depth=8)
     return model.predict(test, keep=[K.KEY, K.TARGET])
@@ -576,7 +585,7 @@ def rf_predict(spark, folder):
 
 @_query
 def rebalanced_rf(spark, folder):
-    df = prepare.prepare(impressions(spark, folder), "production")
+    df = _prepared(spark, folder, K.FEATURES_RF)
     _, scored = flows.rebalanced_forest(
         df, K.FEATURES_RF, width=WIDTH, per_bin=PER_BIN, trees=10, depth=8, rows=0.5
     )

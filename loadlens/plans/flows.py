@@ -16,30 +16,37 @@ from loadlens.operators.rebalance import rebalance
 from loadlens.operators.segments import flag_rows, slow_groups, split_by_flag
 from loadlens.operators.split import hash_split
 from loadlens.operators.trim import cap_below, drop_key
-from loadlens.plans.models import Model, fit_forest, fit_linear
+from loadlens.plans.models import Model, fit_encoders, fit_forest, fit_linear, text_features
 from loadlens.plans.prepare import prepare
 from loadlens.sources.tsv import read_tsv, write_predictions
 
 Fit = Callable[[DataFrame, list[str]], Model]
 
 
-def _columns(sets: dict[str, list[str]]) -> list[str]:
-    return list(dict.fromkeys(c for features in sets.values() for c in features))
-
-
 def compare_features(
-    train: DataFrame, test: DataFrame, sets: dict[str, list[str]], target: str = K.TARGET, fit: Fit | None = None
+    train: DataFrame,
+    test: DataFrame,
+    sets: dict[str, list[str]],
+    target: str = K.TARGET,
+    iterations: int = 100,
 ) -> DataFrame:
-    """Test error of one model per named feature list: ``name``, ``n``, ``rmse``."""
-    fit = fit or (lambda df, features: fit_linear(df, features, target))
-    needed = _columns(sets)
-    train = train.select(target, *needed).persist()
-    test = test.select(target, *needed).persist()
+    """Test error of one linear model per named feature list: ``name``, ``n``, ``rmse``.
+
+    Labels are counted and indexed once for all lists; the indexed halves are
+    kept while the models are fitted.
+    """
+    needed = list(dict.fromkeys(c for features in sets.values() for c in features))
+    encoders = fit_encoders(train, text_features(train, needed))
+    halves = [encoders.index(half.select(target, *needed)) for half in (train, test)]
+    # The text stays only as empty columns, so that a feature keeps its name and type.
+    texts = set(encoders.sizes)
+    keep = [target, *[c for c in needed if c not in texts], *[f"_{c}" for c in texts]]
+    train, test = (h.select(*keep, *[F.lit("").alias(c) for c in texts]).persist() for h in halves)
     try:
         rows = []
         for name, features in sets.items():
-            scored = fit(train, features).predict(test, keep=[target])
-            n, error = rmse(scored, target, "prediction").first()
+            model = fit_linear(train, features, target, iterations, indexed=encoders)
+            n, error = rmse(model.predict(test, keep=[target]), target, "prediction").first()
             rows.append((name, n, error))
     finally:
         train.unpersist()
@@ -54,14 +61,14 @@ def add_one_scan(
     candidates: list[str] | None = None,
     target: str = K.TARGET,
     skip: tuple[str, ...] = (K.KEY,),
-    fit: Fit | None = None,
+    iterations: int = 50,
 ) -> DataFrame:
     """Test error of ``base`` alone and with each other column added."""
     if candidates is None:
         candidates = [c for c in train.columns if c not in (target, *skip, *base)]
     sets = {"(base)": base} if base else {}
     sets.update({c: [*base, c] for c in candidates})
-    return compare_features(train, test, sets, target, fit)
+    return compare_features(train, test, sets, target, iterations)
 
 
 def without_key(

@@ -33,6 +33,17 @@ class Encoders:
     tables: DataFrame | None = None
     joined: list[str] = field(default_factory=list)
 
+    def look_up(self, df: DataFrame) -> DataFrame:
+        """Index the columns with long label lists by a join."""
+        for c in self.joined:
+            df = encode_labels(df, c, self.tables, "_found")
+            df = df.withColumn(f"_{c}", F.coalesce("_found", F.lit(self.sizes[c])).cast("double")).drop("_found")
+        return df
+
+    def index(self, df: DataFrame) -> DataFrame:
+        """Add ``_<column>`` for every encoded column."""
+        return PipelineModel(self.stages).transform(self.look_up(df))
+
 
 def text_features(df: DataFrame, features: list[str]) -> list[str]:
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -96,16 +107,10 @@ class Model:
     encoders: Encoders
     features: list[str]
 
-    def encode(self, df: DataFrame) -> DataFrame:
-        for c in self.encoders.joined:
-            df = encode_labels(df, c, self.encoders.tables, "_index")
-            df = df.withColumn(f"_{c}", F.coalesce("_index", F.lit(self.encoders.sizes[c])).cast("double")).drop("_index")
-        return df
-
     def predict(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Rows of ``df`` with ``prediction``; helper columns are dropped."""
         keep = list(df.columns if keep is None else keep)
-        return self.stages.transform(self.encode(df)).select(*keep, "prediction")
+        return self.stages.transform(self.encoders.look_up(df)).select(*keep, "prediction")
 
     def save(self, path: str) -> None:
         save_model(self.stages, f"{path}/stages")
@@ -125,27 +130,31 @@ class Model:
         return Model(load_model(f"{path}/stages"), encoders, about["features"])
 
 
-def _fit(df: DataFrame, features: list[str], learner, one_hot: bool, max_labels: int) -> Model:
+def _fit(
+    df: DataFrame, features: list[str], learner, one_hot: bool, max_labels: int, indexed: Encoders | None = None
+) -> Model:
+    """Fit a learner. With ``indexed``, the rows already carry the ``_<column>`` of those encoders."""
     text = text_features(df, features)
     numbers = [f for f in features if f not in text]
-    encoders = fit_encoders(df, text, max_labels)
-    stages = list(encoders.stages)
+    encoders = indexed or fit_encoders(df, text, max_labels)
+    tail: list[Transformer] = []
     prefix = "_"
     if one_hot and text:
-        stages.extend(_one_hot(df.sparkSession, text, encoders.sizes))
+        tail += _one_hot(df.sparkSession, text, encoders.sizes)
         prefix = "_hot_"
-    stages.append(
-        VectorAssembler(inputCols=[prefix + c for c in text] + numbers, outputCol="features", handleInvalid="keep")
-    )
-    ready = Model(PipelineModel(stages), encoders, list(features))
+    columns = [prefix + c for c in text] + numbers
+    tail.append(VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"))
     target = learner.getLabelCol()
-    needed = df.select(target, *features).filter(F.col(target).isNotNull())
-    train = ready.stages.transform(ready.encode(needed)).select(target, "features").persist()
+    rows = df.filter(F.col(target).isNotNull())
+    if indexed is None:
+        rows = encoders.index(rows.select(target, *features))
+    train = PipelineModel(tail).transform(rows).select(target, "features").persist()
     try:
         fitted = learner.fit(train)
     finally:
         train.unpersist()
-    return Model(PipelineModel([*stages, fitted]), encoders, list(features))
+    front = [] if indexed else encoders.stages
+    return Model(PipelineModel([*front, *tail, fitted]), Encoders() if indexed else encoders, list(features))
 
 
 def fit_linear(
@@ -156,6 +165,7 @@ def fit_linear(
     reg: float = 0.0,
     solver: str = "auto",
     max_labels: int = MAX_LABELS,
+    indexed: Encoders | None = None,
 ) -> Model:
     """Linear regression; text features dummy coded.
 
@@ -165,7 +175,7 @@ def fit_linear(
     learner = LinearRegression(
         labelCol=target, featuresCol="features", maxIter=iterations, regParam=reg, solver=solver
     )
-    return _fit(df, features, learner, one_hot=True, max_labels=max_labels)
+    return _fit(df, features, learner, one_hot=True, max_labels=max_labels, indexed=indexed)
 
 
 def fit_forest(

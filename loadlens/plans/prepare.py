@@ -31,60 +31,88 @@ def window_area() -> Column:
     return F.col("TOPMOSTREACHABLEWINDOWWIDTH") * F.col("TOPMOSTREACHABLEWINDOWHEIGHT")
 
 
-def _production_columns() -> dict[str, Column]:
-    platform = cleaning.blank_to(cleaning.replace_null_text(keys.joined("PLATFORM", "PLATFORMVERSION"), ""))
-    system = keys.joined("UA_OS", "UA_OSVERSION")
+_SCREEN = ["TOPMOSTREACHABLEWINDOWWIDTH", "TOPMOSTREACHABLEWINDOWHEIGHT"]
+_PLACE = ["GEOIP_COUNTRY", "GEOIP_REGION"]
+_PLATFORM = ["PLATFORM", "PLATFORMVERSION"]
+_SYSTEM = ["UA_OS", "UA_OSVERSION"]
+_DEVICE = ["INTENDEDDEVICETYPE", "ACTUALDEVICETYPE"]
+_AD = ["ACCOUNTID", "CAMPAIGNID", "CREATIVEID"]
+_EXTERNAL = ["EXTERNALPLACEMENTID", "EXTERNALSITEID", "EXTERNALSUPPLIERID"]
+
+# Feature name -> the columns it reads, and its expression.
+Features = dict[str, tuple[list[str], Column]]
+
+
+def _production_features() -> Features:
+    platform = cleaning.blank_to(cleaning.replace_null_text(keys.joined(*_PLATFORM), ""))
+    system = keys.joined(*_SYSTEM)
     listed = cleaning.without_quotes("FILESJSON")
     return {
-        "TOPMOSTREACHABLEWINDOWAREA": window_area(),
-        "GEOIP_COUNTRY": keys.country_region("GEOIP_COUNTRY", "GEOIP_REGION"),
-        "ERRORSJSON": cleaning.without_quotes("ERRORSJSON"),
-        "FILESJSON": listed,
-        "FILESJSON_IMGSIZE": files.image_size(listed),
-        "FILESJSON_VIDSIZE": files.video_size(listed),
-        "COMBINEDID": keys.joined("ACCOUNTID", "CAMPAIGNID", "CREATIVEID"),
-        "COMBINEDEXTERNALID": keys.joined("EXTERNALPLACEMENTID", "EXTERNALSITEID", "EXTERNALSUPPLIERID"),
-        "PLATFORMCOMBINED": platform,
-        "UA_OSCOMB": system,
-        "INTENDENTISACTUALDEVICETYPE": keys.same("INTENDEDDEVICETYPE", "ACTUALDEVICETYPE"),
-        "PLATFORMCOMBINEDISOSCAOMB": platform == system,
+        "TOPMOSTREACHABLEWINDOWAREA": (_SCREEN, window_area()),
+        "GEOIP_COUNTRY": (_PLACE, keys.country_region(*_PLACE)),
+        "ERRORSJSON": (["ERRORSJSON"], cleaning.without_quotes("ERRORSJSON")),
+        "FILESJSON": (["FILESJSON"], listed),
+        "FILESJSON_IMGSIZE": (["FILESJSON"], files.image_size(listed)),
+        "FILESJSON_VIDSIZE": (["FILESJSON"], files.video_size(listed)),
+        "COMBINEDID": (_AD, keys.joined(*_AD)),
+        "COMBINEDEXTERNALID": (_EXTERNAL, keys.joined(*_EXTERNAL)),
+        "PLATFORMCOMBINED": (_PLATFORM, platform),
+        "UA_OSCOMB": (_SYSTEM, system),
+        "INTENDENTISACTUALDEVICETYPE": (_DEVICE, keys.same(*_DEVICE)),
+        "PLATFORMCOMBINEDISOSCAOMB": (_PLATFORM + _SYSTEM, platform == system),
     }
 
 
-def _spark_columns() -> dict[str, Column]:
-    def bare(*names: str) -> Column:
-        return keys.joined(*[cleaning.replace_null_text(n, "") for n in names])
+def _spark_features() -> Features:
+    def bare(names: list[str]) -> tuple[list[str], Column]:
+        return names, keys.joined(*[cleaning.replace_null_text(n, "") for n in names])
 
     return {
-        "TOPMOSTREACHABLEWINDOWAREA": window_area(),
-        "INTENDENTISACTUALDEVICETYPE": keys.same("ACTUALDEVICETYPE", "INTENDEDDEVICETYPE").cast("int"),
-        "COMBINEDID": keys.joined("ACCOUNTID", "CAMPAIGNID", "CREATIVEID", "SDK"),
-        "COMBINEDEXTERNALID": bare(
-            "EXTERNALADSERVER", "EXTERNALPLACEMENTID", "EXTERNALSITEID", "EXTERNALSUPPLIERID"
-        ),
-        "PLATFORMCOMBINED": bare("PLATFORM", "PLATFORMVERSION"),
-        "UA_OSCOMB": bare("UA_OS", "UA_OSVERSION"),
-        "FILESJSON_SIZE": files.total_size("FILESJSON"),
+        "TOPMOSTREACHABLEWINDOWAREA": (_SCREEN, window_area()),
+        "INTENDENTISACTUALDEVICETYPE": (_DEVICE, keys.same(*_DEVICE).cast("int")),
+        "COMBINEDID": (_AD + ["SDK"], keys.joined(*_AD, "SDK")),
+        "COMBINEDEXTERNALID": bare(["EXTERNALADSERVER", *_EXTERNAL]),
+        "PLATFORMCOMBINED": bare(_PLATFORM),
+        "UA_OSCOMB": bare(_SYSTEM),
+        "FILESJSON_SIZE": (["FILESJSON"], files.total_size("FILESJSON")),
     }
 
 
-def explore_columns() -> dict[str, Column]:
-    ids = ["SDK", "ACCOUNTID", "CAMPAIGNID", "CREATIVEID", "EXTERNALADSERVER"]
-    external = keys.joined("EXTERNALPLACEMENTID", "EXTERNALSITEID", "EXTERNALSUPPLIERID", sep="_")
+def _explore_features() -> Features:
+    def key(names: list[str]) -> tuple[list[str], Column]:
+        return names, keys.joined(*names, sep="_")
+
+    ids = ["SDK", *_AD, "EXTERNALADSERVER"]
     return {
-        "GEOIP_COUNTRY": keys.country_region("GEOIP_COUNTRY", "GEOIP_REGION"),
-        "ERRORSJSON": cleaning.without_quotes("ERRORSJSON"),
-        "COMBINEDID": keys.joined(*ids, sep="_"),
-        "COMBINEDIDWITHPLACEMENTID": keys.joined(*ids, "PLACEMENTID", sep="_"),
-        "COMBINEDEXTERNALID": keys.collapse_null_key(external),
-        "PLATFORMCOMBINED": keys.joined("PLATFORM", "PLATFORMVERSION", sep="_"),
-        "UA_VENDORMODEL": keys.joined("UA_VENDOR", "UA_MODEL", sep="_"),
-        "UA_OSCOMB": keys.joined("UA_OS", "UA_OSVERSION", sep="_"),
-        "UA_BROWSERCOMB": keys.joined("UA_BROWSER", "UA_BROWSERVERSION", sep="_"),
-        "INTENDENTISACTUALDEVICETYPE": keys.same("INTENDEDDEVICETYPE", "ACTUALDEVICETYPE"),
+        "GEOIP_COUNTRY": (_PLACE, keys.country_region(*_PLACE)),
+        "ERRORSJSON": (["ERRORSJSON"], cleaning.without_quotes("ERRORSJSON")),
+        "COMBINEDID": key(ids),
+        "COMBINEDIDWITHPLACEMENTID": key([*ids, "PLACEMENTID"]),
+        "COMBINEDEXTERNALID": (_EXTERNAL, keys.collapse_null_key(key(_EXTERNAL)[1])),
+        "PLATFORMCOMBINED": key(_PLATFORM),
+        "UA_VENDORMODEL": key(["UA_VENDOR", "UA_MODEL"]),
+        "UA_OSCOMB": key(_SYSTEM),
+        "UA_BROWSERCOMB": key(["UA_BROWSER", "UA_BROWSERVERSION"]),
+        "INTENDENTISACTUALDEVICETYPE": (_DEVICE, keys.same(*_DEVICE)),
     }
 
 
+_PROFILES = {"production": _production_features, "spark": _spark_features, "explore": _explore_features}
+
+
+def add_features(df: DataFrame, profile: str) -> DataFrame:
+    """Add the features of a set whose input columns are there, in one projection."""
+    has = set(df.columns)
+    features = _PROFILES[profile]()
+    return df.withColumns({name: c for name, (reads, c) in features.items() if has.issuperset(reads)})
+
+
+def inputs_of(profile: str, columns: list[str]) -> list[str]:
+    """Raw columns that a list of raw and derived columns needs."""
+    features = _PROFILES[profile]()
+    return list(dict.fromkeys(r for c in columns for r in (features[c][0] if c in features else [c])))
+
+
 # Columns that the exploration gives up before modelling.
 EXPLORE_DROPPED = [
     "EXTERNALCREATIVEID",
@@ -111,11 +139,10 @@ def prepare(df: DataFrame, profile: str = "production", trim: float = K.NO_TRIM,
 
     Scoring input never loses rows: the target is neither read nor trimmed.
     """
-    columns = {"production": _production_columns, "spark": _spark_columns}[profile]()
     typed = _numbered(df, scoring)
     if not scoring:
         typed = trim_above_percentile(typed, K.TARGET, trim)
-    return typed.withColumns(columns)
+    return add_features(typed, profile)
 
 
 def explore(
@@ -133,4 +160,4 @@ def explore(
     kept = keep_range(sized, "TOPMOSTREACHABLEWINDOWAREA", at_least=K.AREA_MIN, below=K.AREA_BELOW)
     kept = keep_range(kept, "TIMESTAMP", above=time_after, below=time_before)
     kept = trim_above_percentile(kept, "_size", size_trim)
-    return kept.withColumns(explore_columns()).drop("_size", *EXPLORE_DROPPED)
+    return add_features(kept, "explore").drop("_size", *EXPLORE_DROPPED)

@@ -55,20 +55,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def impressions(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per event. The join strategy is left to the optimiser."""
-    events = table(spark, folder, "events")
-    part = table(spark, folder, "part")
-    people = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    places = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), on=_equal("n_regionkey", "r_regionkey"), how="left"
-    )
-    return (
-        events.join(part, on=_equal("user_id", "p_partkey"), how="left")
-        .join(people, on=_equal("user_id", "c_custkey"), how="left")
-        .join(places, on=_equal("c_nationkey", "n_nationkey"), how="left")
-        .selectExpr(*[f"{rule} as {name}" for name, rule in _RULES.items()])
-    )
+# Columns that need a join; the joins are one to one on the right-hand key.
+_FROM_PART = {"UA_VENDOR", "UA_MODEL", "UA_HARDWARETYPE"}
+_FROM_CUSTOMER = {"GEOIP_LAT", "GEOIP_LNG"}
+_FROM_NATION = {"GEOIP_COUNTRY", "GEOIP_REGION"}
+
+
+def impressions(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
+    """One row per event, all columns or the named ones.
+
+    Only the tables behind the wanted columns are joined: the optimiser cannot
+    know that the keys are unique and would keep a join nobody reads. Its
+    strategy is left to the optimiser.
+    """
+    wanted = list(columns or _RULES)
+    need = set(wanted)
+    df = table(spark, folder, "events")
+    if need & _FROM_PART:
+        df = df.join(table(spark, folder, "part"), on=_equal("user_id", "p_partkey"), how="left")
+    if need & (_FROM_CUSTOMER | _FROM_NATION):
+        people = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+        df = df.join(people, on=_equal("user_id", "c_custkey"), how="left")
+    if need & _FROM_NATION:
+        places = table(spark, folder, "nation").join(
+            table(spark, folder, "region"), on=_equal("n_regionkey", "r_regionkey"), how="left"
+        )
+        df = df.join(places, on=_equal("c_nationkey", "n_nationkey"), how="left")
+    return df.selectExpr(*[f"{_RULES[name]} as {name}" for name in wanted])
 
 
 def _equal(left: str, right: str) -> Column:
