@@ -14,7 +14,7 @@ from loadlens.operators import evaluate, groups, histogram, ranks, segments, spl
 from loadlens.operators.profile import column_profile
 from loadlens.operators.rebalance import rebalance
 from loadlens.plans import flows, models, prepare
-from loadlens.session import as_lookup, scratch_path
+from loadlens.session import as_lookup, cut_lineage, scratch_path
 from loadlens.sources import tsv
 from loadlens.sources.impressions import impressions, table
 
@@ -298,7 +298,7 @@ def label_index(spark, folder):
 @_query
 def encode_rows(spark, folder):
     ads = impressions(spark, folder, [K.KEY, "UA_MODEL", "UA_VENDOR"])
-    index = groups.label_index(ads, ["UA_MODEL", "UA_VENDOR"])
+    index = cut_lineage(groups.label_index(ads, ["UA_MODEL", "UA_VENDOR"]))
     for c in ("UA_MODEL", "UA_VENDOR"):
         ads = groups.encode_labels(ads, c, index, f"_{c}")
     return ads.select(K.KEY, "_UA_MODEL", "_UA_VENDOR")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.operators.ranks import SMALL_GROUP, big_groups, searched_quantile
-from loadlens.session import as_lookup, cut_lineage
+from loadlens.session import as_lookup, cut_lineage, measured
 
 
 def group_spread(
@@ -51,8 +51,8 @@ def label_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Index of each label of each column, by falling row count, then by label.
+def number_labels(counts: DataFrame) -> DataFrame:
+    """Index counted labels within their column, by falling row count, then by label.
 
     Numbering is distributed: labels are range-partitioned in output order,
     numbered inside each partition and shifted by the size of the partitions
@@ -60,9 +60,7 @@ def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     order = [F.desc("n"), F.asc("label")]
     ranged = cut_lineage(
-        label_counts(df, columns)
-        .repartitionByRange(F.asc("feature"), *order)
-        .withColumn("_part", F.spark_partition_id())
+        counts.repartitionByRange(F.asc("feature"), *order).withColumn("_part", F.spark_partition_id())
     )
     parts = ranged.groupBy("feature", "_part").agg(F.count("*").alias("_size"))
     shift = F.sum("_size").over(Window.partitionBy("feature").orderBy("_part")) - F.col("_size")
@@ -74,7 +72,12 @@ def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Count and index the labels of each column: ``feature``, ``label``, ``n``, ``idx``."""
+    return number_labels(label_counts(df, columns))
+
+
 def encode_labels(df: DataFrame, column: str, index: DataFrame, out: str) -> DataFrame:
-    """Look up the index of each row's label; NULL for a label not indexed."""
+    """Look up the index of each row's label in a stored table; NULL for a label not indexed."""
     lookup = index.filter(F.col("feature") == column).select(F.col("label").alias(column), F.col("idx").alias(out))
-    return df.join(as_lookup(lookup), column, "left")
+    return df.join(measured(lookup), column, "left")

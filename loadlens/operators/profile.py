@@ -17,25 +17,29 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     """
     columns = list(columns or df.columns)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    number = {c: F.col(c).try_cast("double") for c in columns}
-    moments = text.agg(
-        *[
-            F.struct(F.lit(c).alias("column"), F.avg(number[c]).alias("mean"), F.stddev_pop(number[c]).alias("std")).alias(c)
-            for c in columns
-        ]
-    ).select(F.explode(F.array(*columns)).alias("m")).select("m.*")
     counted = text.unpivot([], columns, "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
+    n, x = F.col("n"), F.col("value").try_cast("double")
     # Most frequent value, the alphabetically first one on a tie.
-    top = F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("n"), F.col("value").alias("value"))))
+    top = F.min(F.when(F.col("value").isNotNull(), F.struct((-n).alias("n"), F.col("value").alias("value"))))
     summary = counted.groupBy("column").agg(
         F.sum("n").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("value") == NULL_TEXT, F.col("n"))), F.lit(0)).alias("n_null_text"),
+        F.coalesce(F.sum(F.when(F.col("value") == NULL_TEXT, n)), F.lit(0)).alias("n_null_text"),
         F.count("value").alias("n_distinct"),
         F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
         top.alias("top"),
+        F.sum(F.when(x.isNotNull(), n)).alias("_numbers"),
+        F.sum(n * x).alias("_sum"),
     )
-    return summary.join(moments, "column").select(
+    # Deviations from the known mean, so that large values do not cancel out.
+    # The lookup has one row per column of the input.
+    means = summary.select("column", (F.col("_sum") / F.col("_numbers")).alias("mean"))
+    squares = (
+        counted.join(F.broadcast(means), "column")
+        .groupBy("column")
+        .agg(F.first("mean").alias("mean"), F.sum(n * (x - F.col("mean")) * (x - F.col("mean"))).alias("_squares"))
+    )
+    return summary.join(F.broadcast(squares), "column").select(
         "column",
         "n_rows",
         "n_null_text",
@@ -45,5 +49,5 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
         F.col("top.value").alias("top_value"),
         (-F.col("top.n")).alias("top_count"),
         "mean",
-        "std",
+        F.sqrt(F.col("_squares") / F.col("_numbers")).alias("std"),
     )

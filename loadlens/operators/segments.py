@@ -26,8 +26,11 @@ def rows_not_in(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def flag_rows(df: DataFrame, groups: DataFrame, keys: list[str], flag: str = "is_slow") -> DataFrame:
-    """Add a membership flag with one join, for uses that need both segments."""
-    marked = groups.select(*keys).distinct().withColumn("_member", F.lit(True))
+    """Add a membership flag with one join, for uses that need both segments.
+
+    ``groups`` holds each key once.
+    """
+    marked = groups.select(*keys).withColumn("_member", F.lit(True))
     return df.join(as_lookup(marked), keys, "left").withColumn(flag, F.col("_member").isNotNull()).drop("_member")
 
 

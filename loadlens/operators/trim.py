@@ -9,14 +9,18 @@ from loadlens.constants import NO_TRIM
 from loadlens.operators.ranks import percentiles
 
 
-def trim_above_percentile(df: DataFrame, value: str, percent: float) -> DataFrame:
+def trim_above_percentile(df: DataFrame, value: str, percent: float, accuracy: int | None = None) -> DataFrame:
     """Keep the rows strictly below a percentile; 100 and more keeps every row.
 
-    The threshold enters the plan as a literal, so the filter can reach the scan.
+    The threshold is exact, unless ``accuracy`` asks for the one-pass sketch. It
+    enters the plan as a literal, so the filter can reach the scan.
     """
     if percent >= NO_TRIM:
         return df
-    (threshold,) = percentiles(df, value, [percent])
+    if accuracy is None:
+        (threshold,) = percentiles(df, value, [percent])
+    else:
+        threshold = df.agg(F.percentile_approx(value, percent / 100.0, accuracy)).first()[0]
     return df if threshold is None else df.filter(F.col(value) < F.lit(threshold))
 
 

@@ -18,6 +18,7 @@ from loadlens.operators.split import hash_split
 from loadlens.operators.trim import cap_below, drop_key
 from loadlens.plans.models import Model, fit_encoders, fit_forest, fit_linear, text_features
 from loadlens.plans.prepare import prepare
+from loadlens.session import cut_lineage
 from loadlens.sources.tsv import read_tsv, write_predictions
 
 Fit = Callable[[DataFrame, list[str]], Model]
@@ -97,17 +98,23 @@ def segmented_models(
     The slow groups are found on the training half only and then looked up for
     both halves, so that no test value decides about its own segment.
     """
-    fit = lambda rows, names: fit_linear(rows, names, target)
     needed = list(dict.fromkeys([key, target, *group_keys, *features]))
     train, test = hash_split(df.select(*needed), key, share)
-    groups = slow_groups(train, target, group_keys, above)
-    parts = [(train, test)]
-    train, test = (cap_below(flag_rows(part, groups, group_keys), target, cap) for part in parts[0])
+    groups = cut_lineage(slow_groups(train, target, group_keys, above))
+    train, test = (cap_below(flag_rows(part, groups, group_keys), target, cap) for part in (train, test))
+    train = train.persist()
+    try:
+        # A segment without training rows is left to the model of the other one.
+        trained = sorted(r[0] for r in train.select("is_slow").distinct().collect())
+        plain = lambda rows, names: fit_linear(rows, names, target)
+        chosen = {False: fit_fast or plain, True: fit_slow or plain}
+        fitted = {slow: chosen[slow](train.filter(F.col("is_slow") == slow), features) for slow in trained}
+    finally:
+        train.unpersist()
     pieces = []
-    halves = zip(split_by_flag(train, "is_slow"), split_by_flag(test, "is_slow"))
-    for (name, chosen), (train_part, test_part) in zip([("fast", fit_fast), ("slow", fit_slow)], halves):
-        model = (chosen or fit)(train_part, features)
-        pieces.append(model.predict(test_part, keep=[key, target]).withColumn("segment", F.lit(name)))
+    for slow, rows in zip((False, True), split_by_flag(test, "is_slow")):
+        model = fitted.get(slow) or fitted[trained[0]]
+        pieces.append(model.predict(rows, keep=[key, target]).withColumn("segment", F.lit("slow" if slow else "fast")))
     return pieces[0].unionByName(pieces[1])
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
@@ -13,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens import constants as K
-from loadlens.operators.groups import encode_labels, label_counts, label_index
+from loadlens.operators.groups import encode_labels, label_counts, number_labels
 from loadlens.session import cut_lineage
 from loadlens.sources.models import load_model, save_model
 
-# Label lists up to this total length live in the saved indexer stage, on driver
-# and executors. Columns that would exceed it are indexed by a join instead.
-MAX_LABELS = 1_000_000
+# Label lists up to this total length live in the saved indexer stage, which the
+# driver builds label by label. Longer ones are tables that are joined instead.
+MAX_LABELS = 2_000
 # Deepest tree the learner accepts.
 MAX_DEPTH = 30
 
@@ -80,7 +82,7 @@ def fit_encoders(df: DataFrame, columns: list[str], max_labels: int = MAX_LABELS
         # Without the label metadata a learner treats the index as a number.
         plain = ", ".join(f"CAST(`_index_{c}` AS DOUBLE) AS `_{c}`" for c in short)
         stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
-    tables = cut_lineage(label_index(df, long)) if long else None
+    tables = cut_lineage(number_labels(counts.filter(F.col("feature").isin(long)))) if long else None
     return Encoders(stages, sizes, tables, long)
 
 
@@ -130,6 +132,25 @@ class Model:
         return Model(load_model(f"{path}/stages"), encoders, about["features"])
 
 
+@contextmanager
+def kept_spread(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached over at least as many partitions as there are cores.
+
+    A learner passes over its input many times; a single small file would keep
+    all of them in one task. Large inputs have enough partitions and stay put.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    kept = [df.persist()]
+    try:
+        # Asked of the cached frame, so that its plan is run only once.
+        if df.rdd.getNumPartitions() < cores:
+            kept.append(df.repartition(cores).persist())
+        yield kept[-1]
+    finally:
+        for frame in kept:
+            frame.unpersist()
+
+
 def _fit(
     df: DataFrame, features: list[str], learner, one_hot: bool, max_labels: int, indexed: Encoders | None = None
 ) -> Model:
@@ -148,11 +169,8 @@ def _fit(
     rows = df.filter(F.col(target).isNotNull())
     if indexed is None:
         rows = encoders.index(rows.select(target, *features))
-    train = PipelineModel(tail).transform(rows).select(target, "features").persist()
-    try:
+    with kept_spread(PipelineModel(tail).transform(rows).select(target, "features")) as train:
         fitted = learner.fit(train)
-    finally:
-        train.unpersist()
     front = [] if indexed else encoders.stages
     return Model(PipelineModel([*front, *tail, fitted]), Encoders() if indexed else encoders, list(features))
 
@@ -202,6 +220,7 @@ def fit_forest(
         featureSubsetStrategy=columns,
         seed=seed,
         maxMemoryInMB=1024,
-        cacheNodeIds=True,
+        # For deep trees it is cheaper to keep each row's node than to ship the trees.
+        cacheNodeIds=depth > 10,
     )
     return _fit(df, features, learner, one_hot=False, max_labels=max_labels)

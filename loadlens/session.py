@@ -60,13 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def as_lookup(df: DataFrame) -> DataFrame:
-    """Materialise a lookup table, measure it, and mark it for broadcast if it is small.
+def measured(table: DataFrame) -> DataFrame:
+    """Mark a stored lookup table for broadcast if it is small.
 
     Beyond the bounds the join is left to the optimiser: a shuffle join, in which
     adaptive execution splits hot keys.
     """
-    table = cut_lineage(df)
     width = sum((F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(0))
     rows, chars = table.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return F.broadcast(table) if rows <= BROADCAST_ROWS and chars <= BROADCAST_CHARS else table
+
+
+def as_lookup(df: DataFrame) -> DataFrame:
+    """Materialise a lookup table, then measure it."""
+    return measured(cut_lineage(df))

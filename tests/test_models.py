@@ -97,6 +97,14 @@ def test_segmented_models(log):
     assert got["pooled"].rmse == pytest.approx((total / got["pooled"].n) ** 0.5)
 
 
+def test_segment_without_training_rows(log):
+    scored = flows.segmented_models(log, ["x"], group_keys=["g"], above=1e9, cap=18.7)
+    assert {r.segment for r in flows.segment_errors(scored).collect()} == {"pooled", "fast"}
+    # Every slow row is above the cap: slow test rows would have no model of their own.
+    capped = flows.segmented_models(log, ["x"], group_keys=["g"], above=8.0, cap=5.0)
+    assert capped.count() == flows.hash_split(log, K.KEY, 0.5)[1].filter(F.col(K.TARGET) < 5.0).count()
+
+
 def test_rebalanced_forest(log):
     model, scored = flows.rebalanced_forest(log, ["g", "x"], per_bin=40, trees=5, depth=6)
     assert scored.count() == flows.hash_split(log, K.KEY, 0.5)[1].count()

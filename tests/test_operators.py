@@ -16,6 +16,7 @@ def test_trim(spark):
     assert trim.trim_above_percentile(df, "x", 100).count() == 100
     counts = [trim.trim_above_percentile(df, "x", p).count() for p in (50, 90, 95, 99)]
     assert counts == sorted(counts) and counts[0] == 50
+    assert 93 <= trim.trim_above_percentile(df, "x", 95, accuracy=100).count() <= 95
     same = spark.createDataFrame([(1.0,)] * 5, "x double")
     assert trim.trim_above_percentile(same, "x", 95).count() == 0
 
