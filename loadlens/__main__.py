@@ -1,4 +1,4 @@
-"""Training and scoring jobs from the command line, for ``spark-submit``.
+"""Training and scoring jobs from the command line.
 
     python -m loadlens train LOG MODEL [--percentile P] [--valid LOG] [--profile NAME]
     python -m loadlens apply LOG MODEL OUT [--key COLUMN] [--shift S] [--profile NAME]

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadlens import constants as K
+from loadlens.__main__ import main
 from loadlens.plans import flows, models, prepare
 from loadlens.plans.models import Model, fit_forest, fit_linear
 from loadlens.sources import tsv
@@ -134,6 +135,8 @@ def test_jobs(spark, tmp_path, profile):
     scored = flows.apply_job(spark, bare, saved, out, profile=profile, shift=K.SCORE_SHIFT)
     assert scored.count() == 200 and tsv.read_tsv(spark, out).count() == 200
     plain = flows.apply_job(spark, bare, saved, profile=profile)
+    main(["apply", bare, saved, out + "2", "--profile", profile])
+    assert tsv.read_tsv(spark, out + "2").count() == 200
     gap = scored.withColumnRenamed("prediction", "s").join(plain, K.KEY).select(F.col("s") - F.col("prediction"))
     assert all(g[0] == pytest.approx(0.3) for g in gap.collect())
 
