@@ -156,9 +156,9 @@ def _prod(body: str, *ctes: str) -> str:
     return _sql(body, _ADS, _TYPED, _PRODUCTION, *ctes)
 
 
-def _spread(keys: str, value: str) -> str:
+def _spread(keys: str, value: str, digits: int = 4) -> str:
     return (
-        f"{keys}, count(*) AS n, round(avg({value}), 4) AS mean, round(quantile_cont({value}, 0.5), 4) AS median, "
+        f"{keys}, count(*) AS n, round(avg({value}), {digits}) AS mean, round(quantile_cont({value}, 0.5), 4) AS median, "
         f"round(stddev_pop({value}), 4) AS std"
     )
 
@@ -384,7 +384,7 @@ def all_oracles() -> dict[str, str]:
             f"SELECT IMPRESSION_ID, CAST({K.BASELINE_CONSTANT} AS DOUBLE) AS constant, round(ADLOADINGTIME + 0.3, 4) AS shifted FROM typed"
         ),
         "placement_stats": _typed(
-            f"SELECT {_spread('PLACEMENTID', 'ADLOADINGTIME')} FROM typed "
+            f"SELECT {_spread('PLACEMENTID', 'ADLOADINGTIME', 8)} FROM typed "
             "WHERE ADLOADINGTIME < (SELECT quantile_cont(ADLOADINGTIME, 0.95) FROM typed) GROUP BY PLACEMENTID"
         ),
         "group_divider_stats": _prod(
@@ -394,7 +394,7 @@ def all_oracles() -> dict[str, str]:
         "line_item_spread": f"SELECT {_spread('l_returnflag', price)} FROM lineitem GROUP BY l_returnflag",
         "feature_group_means": _prod(
             " UNION ALL ".join(
-                f"SELECT '{c}' AS feature, {c} AS level, count(*) AS n, round(avg(ADLOADINGTIME), 4) AS mean FROM production GROUP BY {c}"
+                f"SELECT '{c}' AS feature, {c} AS level, count(*) AS n, round(avg(ADLOADINGTIME), 6) AS mean FROM production GROUP BY {c}"
                 for c in ("COMBINEDID", "PLACEMENTID", "FILESJSON", "PLATFORMCOMBINED", "UA_BROWSER")
             )
         ),

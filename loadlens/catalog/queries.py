@@ -64,8 +64,8 @@ def _featured(spark: SparkSession, folder: str, profile: str, columns: list[str]
     return prepare.add_features(ads, profile).select(K.KEY, *columns)
 
 
-def _r(c: Column | str, name: str) -> Column:
-    return F.round(c, 4).alias(name)
+def _r(c: Column | str, name: str, digits: int = 4) -> Column:
+    return F.round(c, digits).alias(name)
 
 
 def _with_group_mean(df: DataFrame, key: str, out: str = "prediction") -> DataFrame:
@@ -255,7 +255,7 @@ def constant_and_shift(spark, folder):
 def placement_stats(spark, folder):
     df = trim.trim_above_percentile(_target(spark, folder, "PLACEMENTID"), K.TARGET, K.TRIM_EXPLORE)
     spread = groups.group_spread(df, ["PLACEMENTID"], K.TARGET)
-    return spread.select("PLACEMENTID", "n", _r("mean", "mean"), _r("median", "median"), _r("std", "std"))
+    return spread.select("PLACEMENTID", "n", _r("mean", "mean", 8), _r("median", "median"), _r("std", "std"))
 
 
 @_query
@@ -277,7 +277,8 @@ def feature_group_means(spark, folder):
     features = ["COMBINEDID", "PLACEMENTID", "FILESJSON", "PLATFORMCOMBINED", "UA_BROWSER"]
     df = _prepared(spark, folder, features)
     means = groups.group_means(df, features, K.TARGET)
-    return means.select("feature", "level", "n", _r("mean", "mean"))
+    # Means of a few two-digit values often end in a five: compare them unrounded as far as it goes.
+    return means.select("feature", "level", "n", _r("mean", "mean", 6))
 
 
 @_query
