@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, exact_dedup, mixing, quality, simhash
+from loadlens.llm import decontaminate, exact_dedup, html_extract, mixing, quality, simhash, token_counts, toxicity, url_filter
 from loadlens.llm.common import located, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,26 @@ def op8_decontamination(spark, folder):
 def op10_quality(spark, folder):
     found = quality.score(_documents(spark, folder), table(spark, folder, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op3_html_extraction(spark, folder):
+    found = html_extract.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query
+def op6_url_filter(spark, folder):
+    return url_filter.judge(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@_query
+def op2_toxicity(spark, folder):
+    found = toxicity.score(_documents(spark, folder), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@_query
+def op9_token_counts(spark, folder):
+    found = token_counts.counts_after_masking(_documents(spark, folder))
+    return found.select("doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_leaves", "n_reencoded")
