@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadlens.llm import decontaminate, exact_dedup, html_extract, mixing, quality, simhash, token_counts, toxicity, url_filter
+from loadlens.llm import decontaminate, exact_dedup, html_extract, mixing, quality, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from loadlens.llm.common import located, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,9 @@ def op2_toxicity(spark, folder):
 def op9_token_counts(spark, folder):
     found = token_counts.counts_after_masking(_documents(spark, folder))
     return found.select("doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_leaves", "n_reencoded")
+
+
+@_query
+def op4_suffix_dedup(spark, folder):
+    found = suffix_dedup.remove_repeats(_documents(spark, folder))
+    return found.select("doc_id", "n_bytes", F.col("n_removed").cast("long"), F.col("n_spans").cast("long"), "kept_sha256")
