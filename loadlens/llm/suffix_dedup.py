@@ -20,7 +20,7 @@ LENGTH = 100
 GRAM = 32
 _GRAMS = LENGTH - GRAM + 1
 #: Larger groups around one anchor are not sorted in one task but compared window by window.
-SORTED_GROUP = 1_000
+SORTED_GROUP = 100
 #: Bytes that are hashed, and symbols that are sorted, at once.
 _CHUNK, _ROWS = 1 << 20, 20_000
 
@@ -307,14 +307,15 @@ def repeated_windows(texts: DataFrame, sorted_group: int = SORTED_GROUP) -> Data
     hashes; only where texts around one anchor differ are bytes compared.
     """
     runs = write_table(anchors(texts), "anchors")
-    often = runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Stored, so that the join may split a hot anchor: an aggregate in the same stage would hold it together.
+    often = write_table(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     shared = write_table(runs.join(often, "h"), "shared")
     here = F.struct("o", "t", "first", "count", "off")
     unlike = write_table(shared.groupBy("h", "c").agg(F.min(here).alias("at"), F.count(F.lit(1)).alias("n")), "contents")
     again = unlike.where("n > 1").select("h", "c", "at")
     copies = shared.join(again, ["h", "c"]).where(here != F.col("at"))
     copies = copies.select("o", "t", "first", (F.col("first") + F.col("count")).alias("stop"))
-    sizes = unlike.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    sizes = write_table(unlike.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "kinds")
     wanted = unlike.join(sizes, "h").select("h", "kinds", "at.*")
     contexts = write_table(_contexts(texts, wanted), "contexts")
     small = contexts.join(sizes.where(F.col("kinds") > sorted_group), "h", "left_anti")
