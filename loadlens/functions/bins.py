@@ -23,7 +23,10 @@ def edge(index: Column, width: float) -> Column:
 
 
 def nearest_edge(x: Column, width: float, edges: int) -> Column:
-    """Index of the closest edge, the lower one on a tie, clamped to the edges."""
+    """Index of the closest edge, the lower one on a tie, clamped to the edges.
+
+    NULL for a missing value (NULL or NaN).
+    """
     w = float(width)
     inside = F.least(F.greatest(x, F.lit(0.0)), F.lit((edges - 1) * w))
     guess = F.ceil(inside / w - 0.5)
@@ -33,7 +36,8 @@ def nearest_edge(x: Column, width: float, edges: int) -> Column:
         .when(F.abs(edge(guess + 1, w) - inside) < off, 1)
         .otherwise(0)
     )
-    return F.least(F.greatest(guess + step, F.lit(0)), F.lit(edges - 1)).cast("bigint")
+    nearest = F.least(F.greatest(guess + step, F.lit(0)), F.lit(edges - 1)).cast("bigint")
+    return F.when(x.isNotNull() & ~F.isnan(x.cast("double")), nearest)
 
 
 def interval(x: Column, width: float, edges: int) -> Column:

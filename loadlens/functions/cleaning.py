@@ -28,9 +28,16 @@ def replace_null_text(c: Column | str, by: str) -> Column:
     return F.replace(_col(c), F.lit(NULL_TEXT), F.lit(by))
 
 
+def present(c: Column | str) -> Column:
+    """A number, with NaN as NULL: the one meaning of a missing number in all operators."""
+    c = _col(c)
+    return F.when(c.isNotNull() & ~F.isnan(c.cast("double")), c)
+
+
 def as_double(c: Column | str) -> Column:
-    """Number of a text column, 0 for the null literal, NULL if malformed."""
-    return zero_if_null_text(c).try_cast("double")
+    """Number of a text column, 0 for the null literal, NULL if malformed or not finite."""
+    number = zero_if_null_text(c).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def as_long(c: Column | str) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadlens.operators.ranks import SMALL_GROUP, big_groups, searched_quantile
+from loadlens.functions.cleaning import filled, present
+from loadlens.operators.ranks import SMALL_GROUP, big_groups, join_on, searched_quantile
 from loadlens.session import as_lookup, cut_lineage, measured
 
 
@@ -15,8 +16,11 @@ def group_spread(
     """Row count, mean, median and standard deviation of ``value`` per group.
 
     The median is exact. ``approximate=True`` uses the built-in sketch instead,
-    one pass and mergeable, for exploration of very large logs.
+    one pass and mergeable, for exploration of very large logs. NaN counts as
+    missing; a group without any value has n = 0 and NULL statistics; a NULL key
+    is a group.
     """
+    df = df.withColumn(value, present(value))
     deviation = F.stddev_samp(value) if ddof else F.stddev_pop(value)
     plain = [F.count(value).alias("n"), F.avg(value).alias("mean"), deviation.alias("std")]
     if approximate:
@@ -27,8 +31,8 @@ def group_spread(
         return df.groupBy(*keys).agg(*plain, exact)
     lookup = as_lookup(big.select(*keys))
     medians = searched_quantile(df, keys, value, 0.5, big).withColumnRenamed("_quantile", "median")
-    large = df.join(lookup, keys, "left_semi").groupBy(*keys).agg(*plain).join(medians, keys)
-    return df.join(lookup, keys, "left_anti").groupBy(*keys).agg(*plain, exact).unionByName(large)
+    large = join_on(join_on(df, lookup, keys, "left_semi").groupBy(*keys).agg(*plain), medians, keys)
+    return join_on(df, lookup, keys, "left_anti").groupBy(*keys).agg(*plain, exact).unionByName(large)
 
 
 def group_means(df: DataFrame, features: list[str], value: str) -> DataFrame:
@@ -78,6 +82,9 @@ def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, column: str, index: DataFrame, out: str) -> DataFrame:
-    """Look up the index of each row's label in a stored table; NULL for a label not indexed."""
-    lookup = index.filter(F.col("feature") == column).select(F.col("label").alias(column), F.col("idx").alias(out))
-    return df.join(measured(lookup), column, "left")
+    """Look up the index of each row's label in a stored table; NULL for a label not indexed.
+
+    A NULL label is looked up as the empty text, as the reader gives it.
+    """
+    lookup = index.filter(F.col("feature") == column).select(F.col("label").alias("_label"), F.col("idx").alias(out))
+    return df.join(measured(lookup), filled(column) == F.col("_label"), "left").drop("_label")

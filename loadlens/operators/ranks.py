@@ -13,10 +13,12 @@ aggregate or a window instead, where one pass is enough.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loadlens.functions.cleaning import present
 from loadlens.session import as_lookup, cut_lineage
 
 # Largest group handed to one aggregation buffer or one window partition.
@@ -28,6 +30,13 @@ _SLOTS_PER_OCTAVE = 64
 _SLOTS = 16_384
 
 
+def join_on(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys of which NULL equals NULL; the keys come out once."""
+    right = other.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return df.join(right, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def _first_slot(x: Column) -> Column:
     size = F.floor(F.log2(F.abs(x.cast("double")) + 1.0) * _SLOTS_PER_OCTAVE)
     return F.when(x < 0, -size - 1).otherwise(size)
@@ -38,10 +47,6 @@ def _inner_slot(x: Column, low: Column, high: Column) -> Column:
     return F.least(F.floor((x - low) / (high - low) * _SLOTS), F.lit(_SLOTS - 1))
 
 
-def _present(value: Column) -> Column:
-    return value.isNotNull() & ~F.isnan(value.cast("double"))
-
-
 def _range_counts() -> list[Column]:
     return [F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
 
@@ -51,7 +56,7 @@ def percentiles(df: DataFrame, value: str, percents: list[float]) -> list[float
 
     Only slot counts reach the driver. All percentiles share the passes.
     """
-    column = df.select(F.col(value).alias("_v")).filter(_present(F.col("_v"))).persist()
+    column = df.select(present(F.col(value).cast("double")).alias("_v")).filter("_v is not null").persist()
     try:
         slots = sorted(column.groupBy(_first_slot(F.col("_v")).alias("_slot")).agg(*_range_counts()).collect())
         total = sum(s["_n"] for s in slots)
@@ -63,7 +68,7 @@ def percentiles(df: DataFrame, value: str, percents: list[float]) -> list[float
         answers = []
         for h in positions:
             below, above = found[math.floor(h)], found[math.ceil(h)]
-            answers.append(below + (above - below) * (h - math.floor(h)))
+            answers.append(below if below == above else below + (above - below) * (h - math.floor(h)))
         return answers
     finally:
         column.unpersist()
@@ -105,18 +110,17 @@ def values_at_ranks(df: DataFrame, keys: list[str], value: str, targets: DataFra
     """Value at a rank (0-based, ascending) of each group, for groups of any size.
 
     ``targets`` holds the keys and a column ``_rank``; several ranks per group
-    are allowed. Returns keys, ``_rank`` and ``_value``. Keys must not be NULL.
+    are allowed. Returns keys, ``_rank`` and ``_value``. A NULL key is a group too.
     """
-    rows = df.select(*keys, F.col(value).alias("_v")).filter(_present(F.col("_v")))
+    rows = df.select(*keys, present(value).alias("_v")).filter("_v is not null")
     first = (
-        rows.join(as_lookup(targets.select(*keys).distinct()), keys, "left_semi")
+        join_on(rows, as_lookup(targets.select(*keys).distinct()), keys, "left_semi")
         .groupBy(*keys, _first_slot(F.col("_v")).alias("_slot"))
         .agg(*_range_counts())
     )
     through = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slot"))
     state = (
-        first.withColumn("_before", through - F.col("_n"))
-        .join(targets, keys)
+        join_on(first.withColumn("_before", through - F.col("_n")), targets, keys)
         .filter("_rank >= _before and _rank < _before + _n")
         .select(*keys, "_rank", "_before", "_low", "_high")
     )
@@ -128,7 +132,7 @@ def values_at_ranks(df: DataFrame, keys: list[str], value: str, targets: DataFra
         marks = [*keys, "_rank", "_start"]
         brackets = still_open.withColumnsRenamed({"_before": "_start", "_low": "_l", "_high": "_h"})
         split = (
-            rows.join(as_lookup(brackets), keys)
+            join_on(rows, as_lookup(brackets), keys)
             .filter("_v between _l and _h")
             .groupBy(*marks, _inner_slot(F.col("_v"), F.col("_l"), F.col("_h")).alias("_slot"))
             .agg(*_range_counts())
@@ -144,18 +148,18 @@ def values_at_ranks(df: DataFrame, keys: list[str], value: str, targets: DataFra
 
 def big_groups(df: DataFrame, keys: list[str], value: str, small: int = SMALL_GROUP) -> DataFrame | None:
     """Keys and ``_size`` of the groups too large for one buffer, None if there are none."""
-    sizes = df.groupBy(*keys).agg(F.count(value).alias("_size"))
+    sizes = df.groupBy(*keys).agg(F.count(present(value)).alias("_size"))
     big = cut_lineage(sizes.filter(F.col("_size") > small))
     return None if big.isEmpty() else big
 
 
 def group_quantile(df: DataFrame, keys: list[str], value: str, q: float, small: int = SMALL_GROUP) -> DataFrame:
     """Exact interpolated quantile per group: keys and ``_quantile``."""
-    built_in = F.percentile(value, F.lit(q)).alias("_quantile")
+    built_in = F.percentile(present(value), F.lit(q)).alias("_quantile")
     big = big_groups(df, keys, value, small)
     if big is None:
         return df.groupBy(*keys).agg(built_in)
-    rest = df.join(as_lookup(big), keys, "left_anti").groupBy(*keys).agg(built_in)
+    rest = join_on(df, as_lookup(big), keys, "left_anti").groupBy(*keys).agg(built_in)
     return rest.unionByName(searched_quantile(df, keys, value, q, big))
 
 
@@ -164,13 +168,15 @@ def searched_quantile(df: DataFrame, keys: list[str], value: str, q: float, big:
     spots = big.select(*keys, (F.lit(q) * (F.col("_size") - 1)).alias("_at"))
     lower = spots.select(*keys, F.floor("_at").alias("_rank"))
     upper = spots.select(*keys, F.ceil("_at").alias("_rank"))
-    found = values_at_ranks(df, keys, value, lower.unionByName(upper).distinct())
-    low, high = F.col("_lo"), F.col("_hi")
+    numbers = df.withColumn(value, F.col(value).cast("double"))
+    found = values_at_ranks(numbers, keys, value, lower.unionByName(upper).distinct())
+    low, high, at = F.col("_lo"), F.col("_hi"), F.col("_at")
     return (
-        spots.join(found, keys)
+        join_on(spots, found, keys)
         .groupBy(*keys, "_at")
         .agg(F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
-        .select(*keys, (low + (high - low) * (F.col("_at") - F.floor("_at"))).alias("_quantile"))
+        # As the built-in aggregate weighs the two, so that the size of a group changes no digit.
+        .select(*keys, F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high).alias("_quantile"))
     )
 
 
@@ -184,8 +190,7 @@ def cutoffs(df: DataFrame, keys: list[str], order: str, counts: DataFrame, small
     big = targets.filter(F.col("_size") > small)
     ranked = Window.partitionBy(*keys).orderBy(order)
     picked = (
-        df.select(*keys, order)
-        .join(as_lookup(targets.filter(F.col("_size") <= small)), keys)
+        join_on(df.select(*keys, order), as_lookup(targets.filter(F.col("_size") <= small)), keys)
         .withColumn("_row", F.row_number().over(ranked) - 1)
         .filter("_row = _rank")
         .select(*keys, F.col(order).alias("_cut"))
@@ -201,4 +206,4 @@ def first_rows(df: DataFrame, keys: list[str], order: str, k: int, small: int =
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_size"))
     counts = cut_lineage(sizes.withColumn("_take", F.lit(k)))
     limits = cutoffs(df, keys, order, counts, small)
-    return df.join(as_lookup(limits), keys).filter(F.col(order) <= F.col("_cut")).select(*df.columns)
+    return join_on(df, as_lookup(limits), keys).filter(F.col(order) <= F.col("_cut")).select(*df.columns)

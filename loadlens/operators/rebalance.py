@@ -23,6 +23,7 @@ def bin_plan(
     """
     placed = (
         df.select(nearest_edge(F.col(value), width, edges).alias("bin"), interval(F.col(value), width, edges).alias("_in"))
+        .filter("bin is not null")
         .groupBy("bin", "_in")
         .agg(F.count("*").alias("_n"))
     )
@@ -59,7 +60,8 @@ def rebalance(
     """Rows of ``df`` repeated per the plan, with their ``bin``.
 
     Which rows are repeated once more is decided by the order value of the last
-    of them, so no bin is sorted as a whole unless it is known to be small.
+    of them, so no bin is sorted as a whole unless it is known to be small. Rows
+    without a value belong to no bin and are left out.
     """
     edges = edges_for(df, value, width)
     plan = cut_lineage(bin_plan(df, value, width, edges, target, whole_bins, mode))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadlens import constants as K
 from loadlens.functions.bins import edge_count
 from loadlens.operators.evaluate import rmse, shifted
-from loadlens.operators.histogram import error_profile, histogram
+from loadlens.operators.histogram import edges_for, error_profile, histogram
 from loadlens.operators.rebalance import rebalance
 from loadlens.operators.segments import flag_rows, slow_groups, split_by_flag
 from loadlens.operators.split import hash_split
@@ -167,9 +167,13 @@ def train_job(
     profile: str = "production",
     features: list[str] | None = None,
     forest: dict | None = None,
+    upper: float | None = None,
 ) -> TrainReport:
     """Read, prepare, trim, fit a forest, evaluate and save it.
 
+    The histogram reaches up to ``upper``, by default to the largest value. The
+    scored rows are stored once; all measures come from there.
+
     ``profile='spark'`` takes the 15 + 3 features and the deep forest of the
     single-file job, ``production`` the 18 features and the train/validation pair.
     """
@@ -185,11 +189,15 @@ def train_job(
         check = prepare(read_tsv(spark, valid_path), profile, limit).select(K.TARGET, *features)
     else:
         check = train
-    scored = model.predict(check, keep=[K.TARGET])
+    scored = cut_lineage(model.predict(check, keep=[K.TARGET]))
+    if upper is None:
+        edges = max(edges_for(scored, c, K.BIN_WIDTH) for c in (K.TARGET, "prediction")) + 1
+    else:
+        edges = edge_count(upper, K.BIN_WIDTH)
     return TrainReport(
         model,
         rmse(scored, K.TARGET, "prediction"),
-        histogram(scored, [K.TARGET, "prediction"], K.BIN_WIDTH, edges=edge_count(20, K.BIN_WIDTH)),
+        histogram(scored, [K.TARGET, "prediction"], K.BIN_WIDTH, edges=edges),
         error_profile(scored, K.TARGET, "prediction", K.BIN_WIDTH),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadlens import constants as K
+from loadlens.functions.cleaning import filled, present
 from loadlens.operators.groups import encode_labels, label_counts, number_labels
 from loadlens.session import cut_lineage
 from loadlens.sources.models import load_model, save_model
@@ -24,6 +26,9 @@ from loadlens.sources.models import load_model, save_model
 MAX_LABELS = 2_000
 # Deepest tree the learner accepts.
 MAX_DEPTH = 30
+# A learner's input always has so many partitions. A forest draws its rows per
+# partition, so this number is part of the model; raise it for larger inputs.
+LEARN_PARTITIONS = 16
 
 
 @dataclass
@@ -59,7 +64,7 @@ def fit_encoders(df: DataFrame, columns: list[str], max_labels: int = MAX_LABELS
     """
     if not columns:
         return Encoders()
-    counts = cut_lineage(label_counts(df, columns))
+    counts = cut_lineage(label_counts(df.withColumns({c: filled(c) for c in columns}), columns))
     sizes = {r["feature"]: r["count"] for r in counts.groupBy("feature").count().collect()}
     sizes = {c: sizes.get(c, 0) for c in columns}
     room, short = max_labels, []
@@ -74,9 +79,12 @@ def fit_encoders(df: DataFrame, columns: list[str], max_labels: int = MAX_LABELS
         labels[r["feature"]].append(r["label"])
     stages: list[Transformer] = []
     if short:
+        # A missing text is the empty label, in training and in scoring.
+        texts = ", ".join(f"COALESCE(`{c}`, '') AS `_text_{c}`" for c in short)
+        stages.append(SQLTransformer(statement=f"SELECT *, {texts} FROM __THIS__"))
         stages.append(
             StringIndexerModel.from_arrays_of_labels(
-                [labels[c] for c in short], short, [f"_index_{c}" for c in short], "keep"
+                [labels[c] for c in short], [f"_text_{c}" for c in short], [f"_index_{c}" for c in short], "keep"
             )
         )
         # Without the label metadata a learner treats the index as a number.
@@ -108,6 +116,7 @@ class Model:
     stages: PipelineModel
     encoders: Encoders
     features: list[str]
+    about: dict = field(default_factory=dict)
 
     def predict(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Rows of ``df`` with ``prediction``; helper columns are dropped."""
@@ -120,7 +129,7 @@ class Model:
         if self.encoders.tables is not None:
             self.encoders.tables.write.mode("overwrite").partitionBy("feature").parquet(f"{path}/labels")
         note = json.dumps(
-            {"features": self.features, "sizes": self.encoders.sizes, "joined": self.encoders.joined}
+            {"features": self.features, "sizes": self.encoders.sizes, "joined": self.encoders.joined, "about": self.about}
         )
         spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
@@ -129,32 +138,49 @@ class Model:
         about = json.loads(spark.read.text(f"{path}/about").first()[0])
         tables = spark.read.parquet(f"{path}/labels") if about["joined"] else None
         encoders = Encoders([], about["sizes"], tables, about["joined"])
-        return Model(load_model(f"{path}/stages"), encoders, about["features"])
+        return Model(load_model(f"{path}/stages"), encoders, about["features"], about.get("about", {}))
 
 
 @contextmanager
-def kept_spread(df: DataFrame) -> Iterator[DataFrame]:
-    """``df`` cached over at least as many partitions as there are cores.
-
-    A learner passes over its input many times; a single small file would keep
-    all of them in one task. Large inputs have enough partitions and stay put.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    kept = [df.persist()]
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` cached while a learner passes over it again and again."""
+    df = df.persist()
     try:
-        # Asked of the cached frame, so that its plan is run only once.
-        if df.rdd.getNumPartitions() < cores:
-            kept.append(df.repartition(cores).persist())
-        yield kept[-1]
+        yield df
     finally:
-        for frame in kept:
-            frame.unpersist()
+        df.unpersist()
+
+
+def placed(df: DataFrame, columns: list[str], partitions: int) -> DataFrame:
+    """Rows put into a fixed number of partitions, in an order, both by their content only.
+
+    So neither the number of cores nor the layout of the input changes a model.
+    """
+    place = F.xxhash64(*columns)
+    return df.withColumn("_place", place).repartition(partitions, "_place").sortWithinPartitions("_place", *columns)
+
+
+def missing_counts(df: DataFrame, features: list[str], target: str = K.TARGET) -> DataFrame:
+    """Rows in all, rows without a target (never learned from), and missing numbers per feature (learned as 0)."""
+    numbers = [f for f in features if f not in text_features(df, features)]
+    counts = [F.count_if(present(F.col(c).cast("double")).isNull()).alias(f"missing_{c.lower()}") for c in [target, *numbers]]
+    return df.agg(F.count("*").alias("n"), *counts)
 
 
 def _fit(
-    df: DataFrame, features: list[str], learner, one_hot: bool, max_labels: int, indexed: Encoders | None = None
+    df: DataFrame,
+    features: list[str],
+    learner,
+    one_hot: bool,
+    max_labels: int,
+    indexed: Encoders | None = None,
+    partitions: int = LEARN_PARTITIONS,
 ) -> Model:
-    """Fit a learner. With ``indexed``, the rows already carry the ``_<column>`` of those encoders."""
+    """Fit a learner. With ``indexed``, the rows already carry the ``_<column>`` of those encoders.
+
+    A missing number (NULL, NaN, infinite) is 0, as the null literal is, in
+    training and in scoring. Rows without a target are not learned from.
+    """
     text = text_features(df, features)
     numbers = [f for f in features if f not in text]
     encoders = indexed or fit_encoders(df, text, max_labels)
@@ -163,13 +189,17 @@ def _fit(
     if one_hot and text:
         tail += _one_hot(df.sparkSession, text, encoders.sizes)
         prefix = "_hot_"
-    columns = [prefix + c for c in text] + numbers
+    columns = [prefix + c for c in text] + [f"_number_{c}" for c in numbers]
+    if numbers:
+        whole = ", ".join(f"IF(ABS(CAST(`{c}` AS DOUBLE)) < DOUBLE('Infinity'), CAST(`{c}` AS DOUBLE), 0D) AS `_number_{c}`" for c in numbers)
+        tail.append(SQLTransformer(statement=f"SELECT *, {whole} FROM __THIS__"))
     tail.append(VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep"))
     target = learner.getLabelCol()
-    rows = df.filter(F.col(target).isNotNull())
+    rows = df.filter(present(F.col(target).cast("double")).isNotNull())
     if indexed is None:
         rows = encoders.index(rows.select(target, *features))
-    with kept_spread(PipelineModel(tail).transform(rows).select(target, "features")) as train:
+    rows = placed(rows, [target, *[f"_{c}" for c in text], *numbers], partitions)
+    with kept(PipelineModel(tail).transform(rows).select(target, "features")) as train:
         fitted = learner.fit(train)
     front = [] if indexed else encoders.stages
     return Model(PipelineModel([*front, *tail, fitted]), Encoders() if indexed else encoders, list(features))
@@ -207,8 +237,15 @@ def fit_forest(
     columns: str = "auto",
     seed: int = 1,
     max_labels: int = MAX_LABELS,
+    partitions: int = LEARN_PARTITIONS,
 ) -> Model:
-    """Random forest; a label index counts as a number, so no list is too long for the bins."""
+    """Random forest; a label index counts as a number, so no list is too long for the bins.
+
+    The learner takes depths up to ``MAX_DEPTH``; a greater one is fitted with
+    that depth, with a warning, and the model's ``about`` names both.
+    """
+    if depth > MAX_DEPTH:
+        warnings.warn(f"depth {depth} is beyond the learner's limit, fitted with {MAX_DEPTH}", stacklevel=2)
     learner = RandomForestRegressor(
         labelCol=target,
         featuresCol="features",
@@ -223,4 +260,6 @@ def fit_forest(
         # For deep trees it is cheaper to keep each row's node than to ship the trees.
         cacheNodeIds=depth > 10,
     )
-    return _fit(df, features, learner, one_hot=False, max_labels=max_labels)
+    model = _fit(df, features, learner, one_hot=False, max_labels=max_labels, partitions=partitions)
+    model.about = {"trees": trees, "depth": min(depth, MAX_DEPTH), "wanted_depth": depth, "partitions": partitions}
+    return model

@@ -9,10 +9,6 @@ from pyspark.sql import types as T
 from loadlens.functions.cleaning import filled
 
 
-def column_names(df: DataFrame) -> list[str]:
-    return df.columns
-
-
 def read_tsv(
     spark: SparkSession,
     path: str,
@@ -23,9 +19,10 @@ def read_tsv(
 
     The reader takes the first line of each file as header. A line inside a file
     that repeats the header is dropped as well. With ``corrupt_column``, lines
-    with too few or too many fields are kept there in full.
+    with too few or too many fields are kept there in full. A file whose header
+    differs from that of the first one raises an error.
     """
-    reader = spark.read.option("sep", "\t").option("quote", "").option("header", True)
+    reader = spark.read.option("sep", "\t").option("quote", "").option("header", True).option("enforceSchema", False)
     # No inference: this reads the header line only.
     names = reader.csv(path).columns
     fields = [T.StructField(n, T.StringType()) for n in names]
@@ -45,15 +42,26 @@ def read_tsv(
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists") -> None:
-    """Write text columns as they are: no quoting, no escaping."""
+    """Write text columns as they are: no quoting, no escaping, blanks kept.
+
+    A text with a tab or a line break has no form in this format; it fails the
+    write instead of becoming another row. A row of blanks only is read back as
+    no row, as the reader skips blank lines.
+    """
+    kinds = dict(df.dtypes)
+    broken = lambda c: F.raise_error(F.concat(F.lit(f"tab or line break in column {c}: "), F.col(c)))
+    checked = [F.when(F.col(c).rlike(r"[\t\n\r]"), broken(c)).otherwise(F.col(c)).alias(c) if kinds[c] == "string" else F.col(c) for c in df.columns]
     (
-        df.write.mode(mode)
+        df.select(*checked)
+        .write.mode(mode)
         .option("sep", "\t")
         .option("header", header)
         .option("quote", "")
         .option("escape", "")
         .option("emptyValue", "")
         .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -6,8 +6,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from loadlens.functions.bins import nearest_edge
 from loadlens.operators import ranks
 from loadlens.operators.groups import encode_labels, group_means, group_spread, label_index
+from loadlens.operators.histogram import edges_for
+from loadlens.operators.rebalance import rebalance
 
 AWKWARD = {
     "skewed": np.random.default_rng(1).lognormal(2, 1.5, 4000),
@@ -117,3 +120,35 @@ def test_group_means(spark):
     df = spark.createDataFrame([("a", "p", 1.0), ("a", "q", 3.0), ("b", "q", 5.0)], "x string, y string, v double")
     got = {(r["feature"], r["level"]): (r["n"], r["mean"]) for r in group_means(df, ["x", "y"], "v").collect()}
     assert got == {("x", "a"): (2, 2.0), ("x", "b"): (1, 5.0), ("y", "p"): (1, 1.0), ("y", "q"): (2, 4.0)}
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)"])
+def test_same_answer_on_both_sides_of_the_size_limit(spark, kind):
+    nan, inf = float("nan"), float("inf")
+    values = {"a": [1.0, 5.0, 2.5, None] + [nan] * 7, "b": [nan, nan], None: [3.0, 9.0], "c": [4.0, inf] if kind == "double" else [4.0], "d": [None]}
+    rows = [(k, v) for k, vs in values.items() for v in vs]
+    df = spark.createDataFrame(rows, "k string, v double")
+    if kind != "double":
+        df = df.withColumn("v", F.when(~F.isnan("v"), F.col("v")).cast(kind))
+    spread = [sorted(map(repr, group_spread(df, ["k"], "v", small=small).select("k", "n", "mean", "median").collect())) for small in (0, 10**9)]
+    assert spread[0] == spread[1] and len(spread[0]) == 5
+    quantile = [sorted(map(repr, ranks.group_quantile(df, ["k"], "v", 0.3, small=small).collect())) for small in (0, 10**9)]
+    assert quantile[0] == quantile[1]
+    by_key = {r.k: r for r in group_spread(df, ["k"], "v", small=0).collect()}
+    assert (by_key["a"].n, by_key["a"].median, by_key["b"].n, by_key["b"].median, by_key[None].median) == (3, 2.5, 0, None, 6.0)
+    assert ranks.percentiles(df.where("k <> 'c'"), "v", [50])[0] == 2.5
+
+
+def test_first_rows_of_null_and_large_groups(spark):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate([None, "x"] * 20)], "k string, i long")
+    for small in (1, 10**9):
+        assert sorted(r.i for r in ranks.first_rows(df, ["k"], "i", 3, small=small).collect()) == list(range(6))
+
+
+def test_missing_values_have_no_bin(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1, 0.2), (2, None), (3, nan), (4, 7.6), (5, inf)], "i long, v double")
+    assert edges_for(df, "v", 1.0) == 8
+    bins = {r.i: r.b for r in df.select("i", nearest_edge(F.col("v"), 1.0, 8).alias("b")).collect()}
+    assert bins == {1: 0, 2: None, 3: None, 4: 7, 5: 7}
+    assert {r.i for r in rebalance(df, "v", "i", 1.0, 2, 0, "clean").collect()} == {1, 4, 5}

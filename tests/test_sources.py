@@ -16,7 +16,7 @@ def write(tmp_path, text, name="in.tsv"):
 def test_reader(spark, tmp_path):
     path = write(tmp_path, 'A\tB\tC\n1\t["x",\ty"\nA\tB\tC\n2\t\t\nA\tB\tother\n')
     df = tsv.read_tsv(spark, path)
-    assert tsv.column_names(df) == ["A", "B", "C"]
+    assert df.columns == ["A", "B", "C"]
     rows = [tuple(r) for r in df.collect()]
     assert rows == [("1", '["x",', 'y"'), ("2", "", ""), ("A", "B", "other")]
     assert tsv.read_tsv(spark, path, drop_repeated_header=False).count() == 4
@@ -64,3 +64,23 @@ def test_model_of_unknown_path(spark, tmp_path):
 
     with pytest.raises(Exception):
         Model.load(spark, str(tmp_path / "missing"))
+
+
+def test_texts_come_back_as_they_were(spark, tmp_path):
+    rows = [(" lead", "trail "), ('"q"', "back\\slash"), ("  ", "x"), ("A", "x"), ("é\u00a0", "'")]
+    out = str(tmp_path / "texts")
+    tsv.write_tsv(spark.createDataFrame(rows, "A string, B string"), out)
+    assert sorted(tuple(r) for r in tsv.read_tsv(spark, out).collect()) == sorted(rows)
+
+
+@pytest.mark.parametrize("bad", ["a\tb", "a\nb", "a\rb"])
+def test_a_text_without_a_form_fails_the_write(spark, tmp_path, bad):
+    with pytest.raises(Exception, match="tab or line break in column A"):
+        tsv.write_tsv(spark.createDataFrame([(bad,)], "A string"), str(tmp_path / "bad"))
+
+
+def test_files_with_other_headers_raise(spark, tmp_path):
+    write(tmp_path, "A\tB\n1\t2\n", "one.tsv")
+    write(tmp_path, "B\tA\n1\t2\n", "two.tsv")
+    with pytest.raises(Exception, match="(?i)header"):
+        tsv.read_tsv(spark, str(tmp_path)).collect()
