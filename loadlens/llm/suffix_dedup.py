@@ -21,6 +21,8 @@ GRAM = 32
 _GRAMS = LENGTH - GRAM + 1
 #: Larger groups around one anchor are not sorted in one task but compared window by window.
 SORTED_GROUP = 100
+#: In such groups so many neighbouring windows are compared at once before single ones are.
+_BLOCK = 8
 #: Bytes that are hashed, and symbols that are sorted, at once.
 _CHUNK, _ROWS = 1 << 20, 20_000
 
@@ -289,14 +291,35 @@ def _sorted_groups(contexts: DataFrame) -> DataFrame:
 
 
 def _window_repeats(contexts: DataFrame) -> DataFrame:
-    """Repeats in groups too large for one task: windows are grouped by the digest of their bytes."""
+    """Repeats in groups too large for one task.
+
+    Windows go in blocks of neighbours at the same place from the anchor.
+    Blocks of equal bytes are settled as a whole; only one of each kind is
+    taken apart into its windows, and these are grouped by their digest. The
+    earliest window of a kind always lies in the earliest block of a kind.
+    """
+    far, near = F.col("off"), F.col("off") - F.col("count") + 1
+    blocks = F.sequence(F.floor(near / _BLOCK), F.floor(far / _BLOCK))
+    top = F.least(F.col("b") * _BLOCK + _BLOCK - 1, far)
+    size = (top - F.greatest(F.col("b") * _BLOCK, near) + 1).cast("int")
+    begin = (far - top).cast("int")
+    part = F.substring("bytes", begin + 1, size - 1 + LENGTH)
+    pieces = contexts.select("*", F.explode(blocks).alias("b")).select("o", "t", (F.col("first") + begin).alias("at"), size.alias("size"), part.alias("part"))
+    pieces = pieces.withColumn("w", F.unhex(F.md5("part")))
+    kinds = pieces.groupBy("w").agg(F.min(F.struct("o", "t", "at", "size", "part")).alias("one"), F.count(F.lit(1)).alias("n"))
+    kinds = write_table(kinds.select("w", "n", "one.*"), "blocks")
+    again = kinds.where("n > 1").select("w", F.struct("o", "t", "at").alias("earliest"))
+    here = F.struct("o", "t", "at")
+    whole = pieces.drop("part").join(again, "w").where(here != F.col("earliest"))
+    whole = whole.select("o", "t", F.col("at").alias("first"), (F.col("at") + F.col("size")).alias("stop"))
     i = F.col("i")
-    windows = contexts.select("o", "t", "first", "bytes", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("i")).select(
-        "o", "t", (F.col("first") + i).alias("at"), F.unhex(F.md5(F.substring("bytes", i + 1, F.lit(LENGTH)))).alias("w")
+    windows = kinds.select("o", "t", "at", "part", F.explode(F.sequence(F.lit(0), F.col("size") - 1)).alias("i")).select(
+        "o", "t", (F.col("at") + i).alias("at"), F.unhex(F.md5(F.substring("part", i + 1, F.lit(LENGTH)))).alias("w")
     )
-    here = F.struct("o", "t", "at")
     first = windows.groupBy("w").agg(F.min(here).alias("earliest"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return windows.join(first.select("w", "earliest"), "w").where(here != F.col("earliest")).select("o", "t", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))
+    first = write_table(first.select("w", "earliest"), "windows")
+    single = windows.join(first, "w").where(here != F.col("earliest"))
+    return whole.unionByName(single.select("o", "t", F.col("at").alias("first"), (F.col("at") + 1).alias("stop")))
 
 
 def repeated_windows(texts: DataFrame, sorted_group: int = SORTED_GROUP) -> DataFrame:
