@@ -494,6 +494,14 @@ def all_oracles() -> dict[str, str]:
             f"SELECT IMPRESSION_ID, ADLOADINGTIME FROM typed WHERE ADLOADINGTIME >= {CAP}"
         ),
         "tsv_roundtrip": _raw("SELECT * REPLACE (CAST(IMPRESSION_ID AS VARCHAR) AS IMPRESSION_ID) FROM ads"),
+        "tsv_odd_texts": """SELECT CAST(p_partkey AS VARCHAR) AS PARTKEY, '  ' || p_name || ' ' AS BLANKS,
+            '"' || p_brand || '\\n, ''\\' AS MARKS, CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_type END AS GAPS FROM part""",
+        "random_sample_check": _raw(
+            "SELECT count(*) AS n_rows, count(DISTINCT IMPRESSION_ID) AS n_keys, CAST(0 AS BIGINT) AS n_wrong, TRUE AS share_held FROM ads"
+        ),
+        "random_halves_check": _raw(
+            "SELECT count(*) AS n_rows, count(DISTINCT IMPRESSION_ID) AS n_keys, TRUE AS share_held FROM ads"
+        ),
         "predictions_roundtrip": _typed("SELECT IMPRESSION_ID, round(ADLOADINGTIME + 0.3, 4) AS prediction FROM typed"),
         "lr_single_numeric": f"""
             WITH halves AS (SELECT l_quantity AS x, {price} AS y,

@@ -54,7 +54,8 @@ def _target(spark: SparkSession, folder: str, *more: str) -> DataFrame:
 def _prepared(spark: SparkSession, folder: str, columns: list[str], profile: str = "production", trim=K.NO_TRIM) -> DataFrame:
     """Key, target and the named raw or derived columns."""
     reads = prepare.inputs_of(profile, [K.KEY, K.TARGET, *columns])
-    df = prepare.prepare(impressions(spark, folder, reads), profile, trim)
+    narrow = impressions(spark, folder, [K.TARGET])
+    df = prepare.prepare(impressions(spark, folder, reads), profile, trim, narrow=narrow)
     return df.select(K.KEY, K.TARGET, *columns)
 
 
@@ -68,9 +69,9 @@ def _r(c: Column | str, name: str, digits: int = 4) -> Column:
     return F.round(c, digits).alias(name)
 
 
-def _with_group_mean(df: DataFrame, key: str, out: str = "prediction") -> DataFrame:
-    means = df.groupBy(key).agg(F.avg(K.TARGET).alias(out))
-    return df.join(as_lookup(means), key)
+def _with_group_mean(df: DataFrame, *keys: str, out: str = "prediction") -> DataFrame:
+    means = df.groupBy(*keys).agg(F.avg(K.TARGET).alias(out))
+    return df.join(as_lookup(means), list(keys))
 
 
 # --- cleaning, casts, filters ------------------------------------------------
@@ -228,12 +229,13 @@ def prepare_spark(spark, folder):
 
 @_query
 def prepare_explore(spark, folder):
-    return prepare.explore(impressions(spark, folder), time_after=AFTER, time_before=BEFORE)
+    narrow = impressions(spark, folder, prepare.EXPLORE_TRIMS)
+    return prepare.explore(impressions(spark, folder), time_after=AFTER, time_before=BEFORE, narrow=narrow)
 
 
 @_query
 def drop_columns(spark, folder):
-    return impressions(spark, folder).drop(*prepare.EXPLORE_DROPPED, "ERRORSJSON", "FILESJSON")
+    return impressions(spark, folder).drop(*K.EXPLORE_DROPPED, "ERRORSJSON", "FILESJSON")
 
 
 @_query
@@ -402,6 +404,37 @@ def random_halves(spark, folder):
     return first.withColumn("part", F.lit("train")).unionByName(second.withColumn("part", F.lit("test")))
 
 
+def _near(n: Column, all_rows: Column, share: float) -> Column:
+    """Whether a random part has its share of the rows, within five deviations."""
+    return F.abs(n - all_rows * share) <= 5 * F.sqrt(all_rows * share * (1 - share))
+
+
+@_query
+def random_sample_check(spark, folder):
+    """The sample has its share of the rows, each once, and none from elsewhere."""
+    ads = impressions(spark, folder, [K.KEY])
+    drawn = split.random_sample(ads, 0.1, seed=1).withColumn("drawn", F.lit(1))
+    both = ads.withColumn("drawn", F.lit(0)).unionByName(drawn).groupBy(K.KEY).agg(F.count("*").alias("n"), F.sum("drawn").alias("drawn"))
+    rows = F.sum(F.col("n") - F.col("drawn"))
+    return both.agg(
+        rows.alias("n_rows"),
+        F.count("*").alias("n_keys"),
+        F.count_if((F.col("drawn") > 1) | (F.col("drawn") == F.col("n"))).alias("n_wrong"),
+        _near(F.sum("drawn"), rows, 0.1).alias("share_held"),
+    )
+
+
+@_query
+def random_halves_check(spark, folder):
+    """The halves hold every row once, each half its share."""
+    first, second = split.random_halves(impressions(spark, folder, [K.KEY]))
+    parts = first.withColumn("in_train", F.lit(1)).unionByName(second.withColumn("in_train", F.lit(0)))
+    keys = parts.groupBy(K.KEY).agg(F.count("*").alias("n"), F.sum("in_train").alias("train"))
+    return keys.agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"), _near(F.sum("train"), F.sum("n"), 0.5).alias("share_held")
+    )
+
+
 def _slow(df: DataFrame) -> DataFrame:
     return segments.slow_groups(df, K.TARGET, K.SEGMENT_KEYS, SLOW)
 
@@ -426,20 +459,16 @@ def slow_group_anti(spark, folder):
 @_query
 def slow_flag(spark, folder):
     df = _prepared(spark, folder, K.SEGMENT_KEYS)
-    flagged = segments.flag_rows(df, _slow(df), K.SEGMENT_KEYS)
-    fast, slow = segments.split_by_flag(flagged, "is_slow")
-    return fast.unionByName(slow).select(K.KEY, "is_slow")
+    return segments.flag_rows(df, _slow(df), K.SEGMENT_KEYS).select(K.KEY, "is_slow")
 
 
 @_query
 def segment_rmse_pooled(spark, folder):
     df = _prepared(spark, folder, K.SEGMENT_KEYS)
     flagged = segments.flag_rows(df, _slow(df), K.SEGMENT_KEYS)
-    parts = [_with_group_mean(part, "PLACEMENTID") for part in segments.split_by_flag(flagged, "is_slow")]
-    names = ["fast", "slow"]
-    scored = [evaluate.rmse(p, K.TARGET, "prediction").withColumn("segment", F.lit(n)) for p, n in zip(parts, names)]
-    pooled = evaluate.pooled_rmse(parts, K.TARGET, "prediction").withColumn("segment", F.lit("pooled"))
-    return scored[0].unionByName(scored[1]).unionByName(pooled).select("segment", "n", _r("rmse", "rmse"))
+    flagged = flagged.withColumn("segment", F.when(F.col("is_slow"), "slow").otherwise("fast"))
+    scored = _with_group_mean(flagged, "segment", "PLACEMENTID")
+    return flows.segment_errors(scored).withColumn("rmse", F.round("rmse", 4))
 
 
 def _copies(spark: SparkSession, folder: str, mode: str) -> DataFrame:
@@ -488,6 +517,21 @@ def tsv_roundtrip(spark, folder):
     return tsv.read_tsv(spark, path)
 
 
+@_query
+def tsv_odd_texts(spark, folder):
+    """Outer blanks, quotes, backslashes and empty texts survive; repeated headers inside the files go."""
+    path = scratch_path(spark, "odd")
+    rows = table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("PARTKEY"),
+        F.concat(F.lit("  "), "p_name", F.lit(" ")).alias("BLANKS"),
+        F.concat(F.lit('"'), "p_brand", F.lit("\\n, '\\")).alias("MARKS"),
+        F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.col("p_type")).alias("GAPS"),
+    )
+    headers = table(spark, folder, "region").select(*[F.lit(c).alias(c) for c in rows.columns])
+    tsv.write_tsv(rows.unionByName(headers), path)
+    return tsv.read_tsv(spark, path)
+
+
 @_query
 def predictions_roundtrip(spark, folder):
     path = scratch_path(spark, "predictions")

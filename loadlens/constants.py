@@ -198,6 +198,26 @@ BASELINE_CONSTANT = 3.90365759806
 COUNTRY_WITH_REGIONS = "United States"
 BLANK_KEY = "NA"
 
+# Columns that the exploration gives up before modelling.
+EXPLORE_DROPPED = [
+    "EXTERNALCREATIVEID",
+    "NETWORKTYPE",
+    "TOPMOSTREACHABLEWINDOWWIDTH",
+    "TOPMOSTREACHABLEWINDOWHEIGHT",
+    "HOSTWINDOWWIDTH",
+    "HOSTWINDOWHEIGHT",
+    "DEVICEORIENTATION",
+    "UA_MOBILEDEVICE",
+    "GEOIP_TIMEZONE",
+    "GEOIP_METROCODE",
+    "GEOIP_AREACODE",
+    "GEOIP_CITY",
+    "GEOIP_DMACODE",
+    "GEOIP_REGION",
+    "UA_PLATFORM",
+    "UA_PLATFORMVERSION",
+]
+
 FOREST_SPARK = {"trees": 50, "depth": 25, "bins": 1024, "rows": 1.0, "columns": "auto"}
 FOREST_TRAIN = {"trees": 25, "depth": 50, "bins": 1024, "rows": 0.9, "columns": "0.6"}
 FOREST_EXPLORE = {"trees": 20, "depth": 50, "bins": 1024, "rows": 0.5, "columns": "auto"}

@@ -9,19 +9,29 @@ from loadlens.constants import NO_TRIM
 from loadlens.operators.ranks import percentiles
 
 
-def trim_above_percentile(df: DataFrame, value: str, percent: float, accuracy: int | None = None) -> DataFrame:
+def percentile_limit(df: DataFrame, value: str, percent: float, accuracy: int | None = None) -> float | None:
+    """The threshold of a trim, or None where every row stays."""
+    if percent >= NO_TRIM:
+        return None
+    if accuracy is None:
+        return percentiles(df, value, [percent])[0]
+    return df.agg(F.percentile_approx(value, percent / 100.0, accuracy)).first()[0]
+
+
+def keep_below(df: DataFrame, value: str, limit: float | None) -> DataFrame:
+    return df if limit is None else df.filter(F.col(value) < F.lit(limit))
+
+
+def trim_above_percentile(
+    df: DataFrame, value: str, percent: float, accuracy: int | None = None, of: DataFrame | None = None
+) -> DataFrame:
     """Keep the rows strictly below a percentile; 100 and more keeps every row.
 
     The threshold is exact, unless ``accuracy`` asks for the one-pass sketch. It
-    enters the plan as a literal, so the filter can reach the scan.
+    enters the plan as a literal, so the filter can reach the scan. It is
+    searched in ``of``, if given: the same rows without the joins behind ``df``.
     """
-    if percent >= NO_TRIM:
-        return df
-    if accuracy is None:
-        (threshold,) = percentiles(df, value, [percent])
-    else:
-        threshold = df.agg(F.percentile_approx(value, percent / 100.0, accuracy)).first()[0]
-    return df if threshold is None else df.filter(F.col(value) < F.lit(threshold))
+    return keep_below(df, value, percentile_limit(df if of is None else of, value, percent, accuracy))
 
 
 def in_range(c: str, at_least=None, above=None, below=None) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loadlens import constants as K
 from loadlens.functions import cleaning, files, keys
-from loadlens.operators.trim import keep_range, trim_above_percentile
+from loadlens.operators.trim import keep_below, keep_range, percentile_limit, trim_above_percentile
 
 
 def numeric_columns(df: DataFrame, skip: tuple[str, ...] = ()) -> dict[str, Column]:
@@ -39,6 +39,9 @@ _DEVICE = ["INTENDEDDEVICETYPE", "ACTUALDEVICETYPE"]
 _AD = ["ACCOUNTID", "CAMPAIGNID", "CREATIVEID"]
 _EXTERNAL = ["EXTERNALPLACEMENTID", "EXTERNALSITEID", "EXTERNALSUPPLIERID"]
 
+# Raw columns behind the row filters of the exploration set.
+EXPLORE_TRIMS = [K.TARGET, "TIMESTAMP", *_SCREEN, "FILESJSON"]
+
 # Feature name -> the columns it reads, and its expression.
 Features = dict[str, tuple[list[str], Column]]
 
@@ -113,35 +116,22 @@ def inputs_of(profile: str, columns: list[str]) -> list[str]:
     return list(dict.fromkeys(r for c in columns for r in (features[c][0] if c in features else [c])))
 
 
-# Columns that the exploration gives up before modelling.
-EXPLORE_DROPPED = [
-    "EXTERNALCREATIVEID",
-    "NETWORKTYPE",
-    "TOPMOSTREACHABLEWINDOWWIDTH",
-    "TOPMOSTREACHABLEWINDOWHEIGHT",
-    "HOSTWINDOWWIDTH",
-    "HOSTWINDOWHEIGHT",
-    "DEVICEORIENTATION",
-    "UA_MOBILEDEVICE",
-    "GEOIP_TIMEZONE",
-    "GEOIP_METROCODE",
-    "GEOIP_AREACODE",
-    "GEOIP_CITY",
-    "GEOIP_DMACODE",
-    "GEOIP_REGION",
-    "UA_PLATFORM",
-    "UA_PLATFORMVERSION",
-]
-
-
-def prepare(df: DataFrame, profile: str = "production", trim: float = K.NO_TRIM, scoring: bool = False) -> DataFrame:
+def prepare(
+    df: DataFrame,
+    profile: str = "production",
+    trim: float = K.NO_TRIM,
+    scoring: bool = False,
+    narrow: DataFrame | None = None,
+) -> DataFrame:
     """Typed columns and features of the ``production`` or ``spark`` set.
 
     Scoring input never loses rows: the target is neither read nor trimmed.
+    ``narrow`` may give the same rows with the raw target only; the percentile
+    is then searched there, without the joins behind ``df``.
     """
     typed = _numbered(df, scoring)
     if not scoring:
-        typed = trim_above_percentile(typed, K.TARGET, trim)
+        typed = trim_above_percentile(typed, K.TARGET, trim, of=None if narrow is None else _numbered(narrow, scoring))
     return add_features(typed, profile)
 
 
@@ -151,13 +141,24 @@ def explore(
     size_trim: float = K.TRIM_FILE_SIZE,
     time_after: int = K.TIME_AFTER,
     time_before: int = K.TIME_BEFORE,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
-    """The exploration set: trims, range filters, underscore-joined keys, fewer columns."""
-    typed = trim_above_percentile(_numbered(df, scoring=False), K.TARGET, trim)
-    sized = typed.withColumns(
-        {"TOPMOSTREACHABLEWINDOWAREA": window_area(), "_size": files.image_size("FILESJSON", quoted=True)}
-    )
-    kept = keep_range(sized, "TOPMOSTREACHABLEWINDOWAREA", at_least=K.AREA_MIN, below=K.AREA_BELOW)
-    kept = keep_range(kept, "TIMESTAMP", above=time_after, below=time_before)
-    kept = trim_above_percentile(kept, "_size", size_trim)
-    return add_features(kept, "explore").drop("_size", *EXPLORE_DROPPED)
+    """The exploration set: trims, range filters, underscore-joined keys, fewer columns.
+
+    ``narrow`` may give the same rows with only the raw columns ``EXPLORE_TRIMS``;
+    both percentiles are then searched there, without the joins behind ``df``.
+    """
+
+    def ranged(rows: DataFrame, limit: float | None) -> DataFrame:
+        kept = keep_below(rows, K.TARGET, limit).withColumns(
+            {"TOPMOSTREACHABLEWINDOWAREA": window_area(), "_size": files.image_size("FILESJSON", quoted=True)}
+        )
+        kept = keep_range(kept, "TOPMOSTREACHABLEWINDOWAREA", at_least=K.AREA_MIN, below=K.AREA_BELOW)
+        return keep_range(kept, "TIMESTAMP", above=time_after, below=time_before)
+
+    wide = _numbered(df, scoring=False)
+    searched = wide if narrow is None else _numbered(narrow, scoring=False)
+    limit = percentile_limit(searched, K.TARGET, trim)
+    size_limit = percentile_limit(ranged(searched, limit), "_size", size_trim)
+    kept = keep_below(ranged(wide, limit), "_size", size_limit)
+    return add_features(kept, "explore").drop("_size", *K.EXPLORE_DROPPED)

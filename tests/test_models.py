@@ -152,7 +152,7 @@ def test_feature_sets_exist(spark):
     assert set(prepare.prepare(df, "spark").columns).issuperset(K.FEATURES_SPARK)
     explored = set(prepare.explore(df, 100, 100).columns)
     assert explored.issuperset(K.FEATURES_LR) and explored.issuperset(K.FEATURES_LR_SECOND_BASE)
-    assert not explored & set(prepare.EXPLORE_DROPPED)
+    assert not explored & set(K.EXPLORE_DROPPED)
     assert len(K.RAW_COLUMNS) == 47 and models.MAX_DEPTH == 30
 
 
