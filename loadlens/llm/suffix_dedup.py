@@ -97,8 +97,11 @@ def anchors_of(data: np.ndarray, bounds: np.ndarray, hashes: _Hashes) -> tuple[n
 _ANCHOR = "o long, t long, h long, c long, first long, count int, off int"
 
 
-def anchors(texts: DataFrame) -> DataFrame:
-    """One row per run of windows: text (o, t), anchor hash h, content hash c, first start, count, offset of the anchor."""
+def anchors(texts: DataFrame, hashes_only: bool = False) -> DataFrame:
+    """One row per run of windows: text (o, t), anchor hash h, content hash c, first start, count, offset of the anchor.
+
+    With ``hashes_only`` a row is h alone.
+    """
 
     def pieces(pdf: pd.DataFrame) -> Iterator[tuple[list[tuple[int, int, int]], list[bytes]]]:
         """Texts, and overlapping parts of very long ones, in bounded chunks."""
@@ -126,6 +129,9 @@ def anchors(texts: DataFrame) -> DataFrame:
             for keys, parts in pieces(pdf):
                 bounds = np.cumsum([len(p) for p in parts])
                 first, count, anchor, h, c = anchors_of(np.frombuffer(b"".join(parts), dtype=np.uint8), bounds, hashes)
+                if hashes_only:
+                    yield pd.DataFrame({"h": h.view(np.int64)})
+                    continue
                 text = np.searchsorted(bounds, first, side="right")
                 key = np.array(keys, dtype=np.int64).reshape(-1, 3)[text]
                 begin = first - (bounds - [len(p) for p in parts])[text] + key[:, 2]
@@ -141,7 +147,7 @@ def anchors(texts: DataFrame) -> DataFrame:
                     }
                 )
 
-    return texts.select("o", "t", "text").mapInPandas(run, _ANCHOR)
+    return texts.select("o", "t", "text").mapInPandas(run, "h long" if hashes_only else _ANCHOR)
 
 
 def _matrix(parts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -329,10 +335,10 @@ def repeated_windows(texts: DataFrame, sorted_group: int = SORTED_GROUP) -> Data
     and a smaller start. Runs of windows with equal bytes are settled by their
     hashes; only where texts around one anchor differ are bytes compared.
     """
-    runs = write_table(anchors(texts), "anchors")
+    # The texts are hashed twice: the runs of all texts, most of them shared by none, would fill more disk than the texts.
     # Stored, so that the join may split a hot anchor: an aggregate in the same stage would hold it together.
-    often = write_table(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
-    shared = write_table(runs.join(often, "h"), "shared")
+    often = write_table(anchors(texts, hashes_only=True).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
+    shared = write_table(anchors(texts).join(often, "h"), "shared")
     here = F.struct("o", "t", "first", "count", "off")
     unlike = write_table(shared.groupBy("h", "c").agg(F.min(here).alias("at"), F.count(F.lit(1)).alias("n")), "contents")
     again = unlike.where("n > 1").select("h", "c", "at")
