@@ -6,7 +6,7 @@ Written from the meaning of each query, not from its Spark plan.
 from __future__ import annotations
 
 from loadlens import constants as K
-from loadlens.catalog.queries import AFTER, BEFORE, CAP, PER_BIN, SLOW, WIDTH
+from loadlens.catalog.queries import AFTER, BEFORE, CAP, MIDDLE, PER_BIN, REMAINING, SLOW, WIDTH, _list_sets
 
 # Raw impression log over the relational tables; every column but the key is text.
 _ADS = """
@@ -38,6 +38,19 @@ ads AS (
     r_name AS GEOIP_REGION,
     CASE WHEN event_id % 23 = 0 THEN 'null' ELSE CAST(c_nationkey - 12 AS VARCHAR) END AS GEOIP_LAT,
     CASE WHEN event_id % 23 = 0 THEN 'null' ELSE CAST(c_nationkey * 7 AS VARCHAR) || '.5' END AS GEOIP_LNG,
+    'city' || (user_id % 12) AS GEOIP_CITY,
+    CASE WHEN event_id % 3 = 0 THEN 'null' ELSE CAST(200 + user_id % 8 AS VARCHAR) END AS GEOIP_AREACODE,
+    CASE WHEN user_id % 4 = 0 THEN 'null' ELSE CAST(500 + user_id % 15 AS VARCHAR) END AS GEOIP_DMACODE,
+    CASE WHEN user_id % 4 = 0 THEN 'null' ELSE CAST(500 + user_id % 15 AS VARCHAR) END AS GEOIP_METROCODE,
+    'UTC+' || (event_id % 6) AS GEOIP_TIMEZONE,
+    'cdn' || (event_id % 4) AS CDNNAME,
+    CASE WHEN event_id % 9 > 0 THEN 'null' ELSE 'wifi' END AS NETWORKTYPE,
+    CASE WHEN event_id % 8 < 3 THEN '90' ELSE '0' END AS DEVICEORIENTATION,
+    'null' AS EXTERNALCREATIVEID,
+    CASE WHEN user_id % 2 = 0 THEN 'WebKit' WHEN event_id % 7 = 0 THEN 'Gecko' ELSE 'Blink' END AS UA_BROWSERRENDERINGENGINE,
+    CASE WHEN user_id % 5 = 0 THEN 'Tablet' ELSE 'Phone' END AS UA_DEVICETYPE,
+    CASE user_id % 3 WHEN 2 THEN 'null' WHEN 1 THEN 'Android' ELSE 'iOS' END AS UA_PLATFORM,
+    CASE WHEN user_id % 3 = 2 THEN 'null' ELSE CAST(user_id % 4 + 6 AS VARCHAR) END AS UA_PLATFORMVERSION,
     CASE WHEN event_id % 19 = 0 THEN 'null' ELSE CAST(event_id % 1300 AS VARCHAR) END AS HOSTWINDOWHEIGHT,
     CASE WHEN event_id % 19 = 0 THEN 'null' ELSE CAST(event_id % 900 AS VARCHAR) END AS HOSTWINDOWWIDTH,
     CASE WHEN event_id % 13 = 0 THEN 'null' ELSE CAST(event_id % 3000 - 5 AS VARCHAR) END AS TOPMOSTREACHABLEWINDOWWIDTH,
@@ -224,11 +237,79 @@ def _within(number: str) -> str:
            FROM halves WHERE train))"""
 
 
+_DRAW = "CAST('0x' || substr(md5('1|' || IMPRESSION_ID), 1, 13) AS BIGINT)"
+# Missing is NULL here: NaN and NULL mean the same.
+_GAPPY = """gappy AS (SELECT CASE WHEN IMPRESSION_ID % 31 <> 0 THEN IMPRESSION_ID END AS id, CASE WHEN IMPRESSION_ID % 5 <> 0 THEN PLACEMENTID END AS place,
+  CASE WHEN IMPRESSION_ID % 7 <> 0 THEN IMPRESSION_ID % 2 = 0 END AS flag,
+  CASE WHEN IMPRESSION_ID % 11 <> 0 AND IMPRESSION_ID % 13 <> 0 THEN ADLOADINGTIME END AS y,
+  CASE WHEN IMPRESSION_ID % 17 <> 0 AND IMPRESSION_ID % 19 <> 0 THEN ADLOADINGTIME * 0.9 + 1 END AS p FROM typed)"""
 _HALVES = f"halves AS (SELECT *, {_PART} AS train FROM production)"
 _SLOW_KEYS = f"slow AS (SELECT {_SEGMENT} FROM production GROUP BY ALL HAVING quantile_cont(ADLOADINGTIME, 0.5) > {SLOW})"
 _IS_SLOW = f"({_SEGMENT}) IN (SELECT ({_SEGMENT}) FROM slow)"
 
 
+_REMAINING_NUMBERS = [c for c in REMAINING if c in K.DOUBLE_COLUMNS + K.LONG_COLUMNS]
+# Every device column is a function of the user and so of the joint id: it cannot lower the error.
+_DEVICE_LISTS = [
+    [],
+    ["UA_VENDOR"],
+    ["UA_MODEL"],
+    ["UA_OS"],
+    ["UA_OSVERSION"],
+    ["UA_BROWSERVERSION"],
+    ["UA_BROWSER"],
+    ["UA_VENDOR", "UA_MODEL"],
+    ["UA_OS", "UA_OSVERSION"],
+    ["UA_BROWSERVERSION", "UA_BROWSER"],
+    ["UA_VENDORMODEL"],
+    ["UA_OSCOMB"],
+    ["UA_BROWSERCOMB"],
+]
+_EXPLORE_HALVES = f"""halves AS (SELECT *, {_PART} AS train FROM (
+  SELECT * REPLACE ({_PLACE} AS GEOIP_COUNTRY, {_unquoted('ERRORSJSON')} AS ERRORSJSON), {_EXPLORE_COLUMNS},
+    INTENDEDDEVICETYPE = ACTUALDEVICETYPE AS INTENDENTISACTUALDEVICETYPE FROM typed))"""
+
+
+def _added_to(base: str, texts: list[str], numbers: list[str], sweeps: int) -> str:
+    """Least squares on a text column alone, with one more text, and with one number.
+
+    Two texts are fitted by alternating group means until they stand still; a
+    number by its slope within the labels of the base. An unseen label counts
+    as the most frequent one of its column.
+    """
+    rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {base} AS a, CAST({c} AS VARCHAR) AS b, ADLOADINGTIME AS y, train FROM halves" for c in texts
+    )
+    lines = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {base} AS a, CAST(\"{c}\" AS DOUBLE) AS x, ADLOADINGTIME AS y, train FROM halves" for c in numbers
+    )
+    steps = ["b0 AS (SELECT DISTINCT name, b, 0.0::DOUBLE AS v FROM cells)"]
+    for k in range(1, sweeps + 1):
+        steps.append(f"a{k} AS MATERIALIZED (SELECT name, a, sum(s - n * v) / sum(n) AS v FROM cells JOIN b{k - 1} USING (name, b) GROUP BY ALL)")
+        steps.append(f"b{k} AS MATERIALIZED (SELECT name, b, sum(s - n * v) / sum(n) AS v FROM cells JOIN a{k} USING (name, a) GROUP BY ALL)")
+    usual = "SELECT name, {0}, row_number() OVER (PARTITION BY name ORDER BY sum(n) DESC, {0}) AS r FROM cells GROUP BY name, {0}"
+    by_label = _by_label("halves", base).replace(f"'{base}' AS name", "'(base)' AS name")
+    return f"""
+      {by_label}
+      UNION ALL SELECT * FROM (
+        WITH obs AS ({rows}),
+        cells AS MATERIALIZED (SELECT name, a, b, count(*) AS n, sum(y) AS s FROM obs WHERE train GROUP BY ALL),
+        {", ".join(steps)},
+        ua AS (SELECT name, v AS va FROM ({usual.format("a")}) JOIN a{sweeps} USING (name, a) WHERE r = 1),
+        ub AS (SELECT name, v AS vb FROM ({usual.format("b")}) JOIN b{sweeps} USING (name, b) WHERE r = 1)
+        SELECT name, count(*) AS n, round(sqrt(avg(power(y - coalesce(fa.v, va) - coalesce(fb.v, vb), 2))), 4) AS rmse
+        FROM obs LEFT JOIN a{sweeps} AS fa USING (name, a) LEFT JOIN b{sweeps} AS fb USING (name, b) JOIN ua USING (name) JOIN ub USING (name)
+        WHERE NOT train GROUP BY name)
+      """ + (f"""UNION ALL SELECT * FROM (
+        WITH obs AS ({lines}),
+        means AS (SELECT name, a, avg(x) AS mx, avg(y) AS my, count(*) AS k FROM obs WHERE train GROUP BY ALL),
+        slopes AS (SELECT name, CASE WHEN sum((x - mx) * (x - mx)) > 1e-9 * sum(x * x) THEN sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) ELSE 0 END AS b
+          FROM obs JOIN means USING (name, a) WHERE train GROUP BY name),
+        ua AS (SELECT name, mx AS ux, my AS uy FROM means QUALIFY row_number() OVER (PARTITION BY name ORDER BY k DESC, a) = 1)
+        SELECT name, count(*) AS n, round(sqrt(avg(power(y - coalesce(my, uy) - b * (x - coalesce(mx, ux)), 2))), 4) AS rmse
+        FROM obs LEFT JOIN means USING (name, a) JOIN slopes USING (name) JOIN ua USING (name) WHERE NOT train GROUP BY name)""" if numbers else "")
+
+
 def _label_index(columns: list[str], source: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {c} AS label, count(*) AS n, "
@@ -273,6 +354,19 @@ _RAW_NAMES = [
     "TOPMOSTREACHABLEWINDOWHEIGHT",
     "FILESJSON",
     "ERRORSJSON",
+    "GEOIP_CITY",
+    "GEOIP_AREACODE",
+    "GEOIP_DMACODE",
+    "GEOIP_METROCODE",
+    "GEOIP_TIMEZONE",
+    "CDNNAME",
+    "NETWORKTYPE",
+    "DEVICEORIENTATION",
+    "EXTERNALCREATIVEID",
+    "UA_BROWSERRENDERINGENGINE",
+    "UA_DEVICETYPE",
+    "UA_PLATFORM",
+    "UA_PLATFORMVERSION",
 ]
 
 
@@ -286,12 +380,22 @@ def _profile(c: str) -> str:
 
 
 _DROPPED = [
+    "EXTERNALCREATIVEID",
+    "NETWORKTYPE",
     "TOPMOSTREACHABLEWINDOWWIDTH",
     "TOPMOSTREACHABLEWINDOWHEIGHT",
     "HOSTWINDOWWIDTH",
     "HOSTWINDOWHEIGHT",
+    "DEVICEORIENTATION",
     "UA_MOBILEDEVICE",
+    "GEOIP_TIMEZONE",
+    "GEOIP_METROCODE",
+    "GEOIP_AREACODE",
+    "GEOIP_CITY",
+    "GEOIP_DMACODE",
     "GEOIP_REGION",
+    "UA_PLATFORM",
+    "UA_PLATFORMVERSION",
 ]
 
 
@@ -502,6 +606,57 @@ def all_oracles() -> dict[str, str]:
         "random_halves_check": _raw(
             "SELECT count(*) AS n_rows, count(DISTINCT IMPRESSION_ID) AS n_keys, TRUE AS share_held FROM ads"
         ),
+        "exact_sample": _typed(f"SELECT IMPRESSION_ID, ADLOADINGTIME FROM typed ORDER BY {_DRAW} LIMIT 1000"),
+        "exact_halves": _raw(
+            f"SELECT IMPRESSION_ID, ADLOADINGTIME, CASE WHEN row_number() OVER (ORDER BY {_DRAW}) <= (SELECT count(*) // 2 FROM ads) THEN 'train' ELSE 'test' END AS part FROM ads"
+        ),
+        "missing_in_measures": _typed(
+            """SELECT 'rmse' AS measure, NULL::VARCHAR AS level, count(*) AS n, round(sqrt(avg(power(y - p, 2))), 4) AS value
+               FROM gappy WHERE y IS NOT NULL AND p IS NOT NULL
+            UNION ALL SELECT 'baseline', NULL, count(y), round(stddev_pop(y), 4) FROM gappy
+            UNION ALL SELECT 'mean', place, count(y), round(avg(y), 4) FROM gappy GROUP BY place
+            UNION ALL SELECT 'profile', CAST(bin AS VARCHAR), n, mean_abs_error FROM (""" + _error_profile("(SELECT * FROM gappy WHERE y IS NOT NULL AND p IS NOT NULL)") + ")",
+            _GAPPY,
+            _edges("gappy", "y"),
+        ),
+        "missing_in_splits": _typed(
+            """SELECT 'hash' AS split, CASE WHEN CAST('0x' || substr(md5(coalesce(CAST(id AS VARCHAR), '')), 1, 8) AS BIGINT) % 1000 < 500 THEN 0 ELSE 1 END::BIGINT AS part, count(*) AS n FROM gappy GROUP BY ALL
+            UNION ALL SELECT 'flag', CASE WHEN flag THEN 1 ELSE 0 END, count(*) FROM gappy GROUP BY ALL
+            UNION ALL SELECT kind, CASE WHEN s.place IS NULL AND s.slow IS NULL THEN 0 ELSE 1 END, count(*)
+              FROM gappy g LEFT JOIN (SELECT place, TRUE AS slow FROM gappy GROUP BY place HAVING quantile_cont(y, 0.5) > """ + str(MIDDLE) + """) s ON s.place IS NOT DISTINCT FROM g.place AND s.slow,
+              (VALUES ('slow'), ('marked')) AS k(kind) GROUP BY ALL""",
+            _GAPPY,
+        ),
+        "tsv_mixed_headers": _raw(
+            "SELECT CAST(IMPRESSION_ID AS VARCHAR) AS IMPRESSION_ID, ADLOADINGTIME, SDK, PLACEMENTID, "
+            "CASE WHEN IMPRESSION_ID % 2 = 1 THEN CREATIVETYPE ELSE '' END AS CREATIVETYPE FROM ads"
+        ),
+        "train_validate_job": _typed(
+            f"""SELECT 'train n_rows' AS measure, NULL::BIGINT AS bin, count(*) AS n FROM parts WHERE train
+            UNION ALL SELECT 'train n_imputed', NULL, count(*) FILTER (WHERE IMPRESSION_ID % 97 = 0) FROM parts WHERE train
+            UNION ALL SELECT 'train n_malformed', NULL, 0
+            UNION ALL SELECT 'train n_kept', NULL, count(*) FROM parts WHERE train AND y < (SELECT quantile_cont(y, {K.TRIM_TRAIN} / 100.0) FROM parts WHERE train)
+            UNION ALL SELECT 'validation n_rows', NULL, count(*) FROM parts WHERE NOT train
+            UNION ALL SELECT 'validation n_imputed', NULL, count(*) FILTER (WHERE IMPRESSION_ID % 97 = 0) FROM parts WHERE NOT train
+            UNION ALL SELECT 'validation n_malformed', NULL, 0
+            UNION ALL SELECT 'validation n_kept', NULL, count(*) FROM scored
+            UNION ALL SELECT 'judged', NULL, count(*) FROM scored
+            UNION ALL SELECT 'histogram', b.bin, count(y) FROM (SELECT unnest(generate_series(0, 18)) AS bin) b
+              LEFT JOIN scored ON (y >= b.bin * 10 AND y < b.bin * 10 + 10) OR (b.bin = 18 AND y = 190) GROUP BY b.bin
+            UNION ALL SELECT 'profile', bin, n FROM ({_error_profile("(SELECT y, 0 AS p FROM scored)")})""",
+            f"parts AS (SELECT IMPRESSION_ID, ADLOADINGTIME AS y, {_PART} AS train FROM typed)",
+            f"scored AS (SELECT y FROM parts WHERE NOT train AND y < (SELECT quantile_cont(y, {K.TRIM_VALIDATION} / 100.0) FROM parts WHERE NOT train))",
+            _edges("scored", "y"),
+        ),
+        "score_histogram": _raw("SELECT count(*) AS n_rows, count(*) AS n_scored, CAST(count(*) AS BIGINT) AS n_in_histogram FROM ads"),
+        "measures_at_once": _typed(
+            f"""SELECT 'error' AS measure, NULL::BIGINT AS bin, count(*) AS n, NULL::BIGINT AS n_prediction, round(sqrt(avg(power(y - p, 2))), 4) AS value FROM scored
+            UNION ALL SELECT 'histogram', b.bin, count(*) FILTER (WHERE y >= b.bin * 10 AND y < b.bin * 10 + 10), count(*) FILTER (WHERE p >= b.bin * 10 AND p < b.bin * 10 + 10), b.bin * 10.0::DOUBLE
+              FROM (SELECT unnest(generate_series(0, n_edges - 1)) AS bin FROM edges) b, scored GROUP BY b.bin
+            UNION ALL SELECT 'profile', bin, n, NULL, mean_abs_error FROM ({_error_profile("scored")})""",
+            group_mean,
+            _edges("typed"),
+        ),
         "predictions_roundtrip": _typed("SELECT IMPRESSION_ID, round(ADLOADINGTIME + 0.3, 4) AS prediction FROM typed"),
         "lr_single_numeric": f"""
             WITH halves AS (SELECT l_quantity AS x, {price} AS y,
@@ -528,6 +683,19 @@ def all_oracles() -> dict[str, str]:
             ).replace("'\"TIMESTAMP\"'", "'TIMESTAMP'"),
             _HALVES,
         ),
+        "ablation_scan_text": _prod(_added_to("COMBINEDID", ["UA_BROWSERVERSION", "UA_VENDOR", "CREATIVETYPE"], [], 60), _HALVES),
+        "ablation_every_column": _typed(
+            _added_to("COMBINEDID", [c for c in REMAINING if c not in (*_REMAINING_NUMBERS, "COMBINEDID", "FILESJSON")], _REMAINING_NUMBERS, 150), _EXPLORE_HALVES
+        ),
+        "ablation_lists_check": _typed(
+            " UNION ALL ".join(f"SELECT '{name}' AS name, n, 0.0::DOUBLE AS residual FROM judged" for name in _list_sets()),
+            _EXPLORE_HALVES,
+            "judged AS (SELECT count(*) AS n FROM halves WHERE NOT train)",
+        ),
+        "device_feature_sets": _typed(
+            " UNION ALL ".join(_by_label("halves", "COMBINEDID").replace("'COMBINEDID' AS name", f"'{' and '.join(['COMBINEDID', *more])}' AS name") for more in _DEVICE_LISTS),
+            _EXPLORE_HALVES,
+        ),
         "null_key_exclusion": _typed(
             " UNION ALL ".join(
                 f"SELECT *, '{label}' AS train_rows FROM ({_by_label('halves', c, train)})"

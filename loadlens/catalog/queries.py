@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from loadlens import constants as K
 from loadlens.functions import cleaning, files
 from loadlens.functions.bins import nearest_edge
-from loadlens.operators import evaluate, groups, histogram, ranks, segments, split, trim
+from loadlens.operators import evaluate, groups, histogram, measures, products, ranks, segments, split, trim
 from loadlens.operators.profile import column_profile
 from loadlens.operators.rebalance import rebalance
 from loadlens.plans import flows, models, prepare
@@ -23,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Settings that suit the value range of the derived impression log.
 WIDTH = 10.0
 SLOW = 40.0
+MIDDLE = 33.0
 CAP = 187.0
 PER_BIN = 500
 AFTER, BEFORE = 1704100000, 1706500000
@@ -435,6 +437,61 @@ def random_halves_check(spark, folder):
     )
 
 
+@_query
+def exact_sample(spark, folder):
+    """1,000 rows (all, if there are fewer) by the order of their digests."""
+    return split.exact_sample(_target(spark, folder), K.KEY, 1_000)
+
+
+@_query
+def exact_halves(spark, folder):
+    first, second = split.exact_halves(impressions(spark, folder, [K.KEY, K.TARGET]), K.KEY)
+    return first.withColumn("part", F.lit("train")).unionByName(second.withColumn("part", F.lit("test")))
+
+
+def _gappy(spark: SparkSession, folder: str) -> DataFrame:
+    """Impressions with NULL keys, NULL flags and NaN or NULL numbers here and there."""
+    i = F.col(K.KEY)
+    nan = F.lit(float("nan"))
+    return _target(spark, folder, "PLACEMENTID").select(
+        F.when(i % 31 != 0, i).alias("id"),
+        F.when(i % 5 != 0, F.col("PLACEMENTID")).alias("place"),
+        F.when(i % 7 != 0, i % 2 == 0).alias("flag"),
+        F.when(i % 11 == 0, nan).when(i % 13 != 0, F.col(K.TARGET)).alias("y"),
+        F.when(i % 17 == 0, nan).when(i % 19 != 0, F.col(K.TARGET) * 0.9 + 1).alias("p"),
+    )
+
+
+@_query
+def missing_in_measures(spark, folder):
+    """Rows that enter and the measures, where keys, targets and predictions are missing."""
+    df = _gappy(spark, folder)
+    error = evaluate.rmse(df, "y", "p").select(F.lit("rmse").alias("measure"), F.lit(None).cast("string").alias("level"), "n", F.col("rmse").alias("value"))
+    base = evaluate.baseline_rmse(df, "y").select(F.lit("baseline").alias("measure"), F.lit(None).cast("string").alias("level"), "n", F.col("rmse").alias("value"))
+    means = groups.group_means(df, ["place"], "y").select(F.lit("mean").alias("measure"), "level", "n", F.col("mean").alias("value"))
+    profile = histogram.error_profile(df, "y", "p", WIDTH).select(F.lit("profile").alias("measure"), F.col("bin").cast("string").alias("level"), "n", F.col("mean_abs_error").alias("value"))
+    return error.unionByName(base).unionByName(means).unionByName(profile).withColumn("value", F.round("value", 4))
+
+
+@_query
+def missing_in_splits(spark, folder):
+    """Rows per part of every split, where keys and flags are missing: each row is in one part."""
+    df = _gappy(spark, folder)
+    slow = segments.slow_groups(df, "y", ["place"], MIDDLE)
+    parts = {
+        "hash": split.hash_split(df, "id"),
+        "flag": segments.split_by_flag(df, "flag"),
+        "slow": (segments.rows_not_in(df, slow, ["place"]), segments.rows_in(df, slow, ["place"])),
+        "marked": segments.split_by_flag(segments.flag_rows(df, slow, ["place"]), "is_slow"),
+    }
+    counted = [
+        rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("split"), F.lit(i).cast("bigint").alias("part"), "n")
+        for name, halves in parts.items()
+        for i, rows in enumerate(halves)
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def _slow(df: DataFrame) -> DataFrame:
     return segments.slow_groups(df, K.TARGET, K.SEGMENT_KEYS, SLOW)
 
@@ -532,6 +589,18 @@ def tsv_odd_texts(spark, folder):
     return tsv.read_tsv(spark, path)
 
 
+@_query
+def tsv_mixed_headers(spark, folder):
+    """Two files with the same columns in another order, one with a column more, read as one table."""
+    path = scratch_path(spark, "mixed")
+    ads = impressions(spark, folder, [K.KEY, K.TARGET, "SDK", "PLACEMENTID", "CREATIVETYPE"])
+    even = ads.where(F.col(K.KEY) % 2 == 0).select(K.KEY, "PLACEMENTID", K.TARGET, "SDK")
+    odd = ads.where(F.col(K.KEY) % 2 == 1).select("SDK", K.TARGET, "CREATIVETYPE", K.KEY, "PLACEMENTID")
+    tsv.write_tsv(even.coalesce(1), path)
+    tsv.write_tsv(odd.coalesce(1), path, mode="append")
+    return tsv.read_aligned(spark, path)
+
+
 @_query
 def predictions_roundtrip(spark, folder):
     path = scratch_path(spark, "predictions")
@@ -561,35 +630,89 @@ def lr_single_categorical(spark, folder):
     return scored.select(K.KEY, _r("prediction", "prediction"))
 
 
+def _in_train() -> Column:
+    return split.hash_bucket(K.KEY) < 500
+
+
+def _compared(df: DataFrame, sets: dict[str, list[str]]) -> DataFrame:
+    return flows.compare_lists(df, _in_train(), sets).withColumn("rmse", F.round("rmse", 4))
+
+
 @_query
 def feature_comparison(spark, folder):
     names = ["COMBINEDID", "PLACEMENTID", "UA_VENDOR", "UA_MODEL", "UA_OS", "PLATFORMCOMBINED", "COMBINEDEXTERNALID"]
-    train, test = split.hash_split(_prepared(spark, folder, names), K.KEY, 0.5)
-    return flows.compare_features(train, test, {n: [n] for n in names}).withColumn("rmse", F.round("rmse", 4))
+    return _compared(_prepared(spark, folder, names), {n: [n] for n in names})
+
+
+@_query
+def device_feature_sets(spark, folder):
+    """The joint id alone and with vendor, model, system and browser columns, one by one, together and joined."""
+    found = [["UA_VENDOR", "UA_MODEL"], ["UA_OS", "UA_OSVERSION"], ["UA_BROWSERVERSION", "UA_BROWSER"]]
+    lists = [[], *[[c] for pair in found for c in pair], *found, ["UA_VENDORMODEL"], ["UA_OSCOMB"], ["UA_BROWSERCOMB"]]
+    sets = {" and ".join(["COMBINEDID", *more]): ["COMBINEDID", *more] for more in lists}
+    return _compared(_prepared(spark, folder, list(dict.fromkeys(c for x in sets.values() for c in x)), "explore"), sets)
 
 
 @_query
 def ablation_scan(spark, folder):
     numbers = ["TIMESTAMP", "TOPMOSTREACHABLEWINDOWAREA", "FILESJSON_IMGSIZE", "FILESJSON_VIDSIZE", "GEOIP_LNG"]
-    train, test = split.hash_split(_prepared(spark, folder, ["PLACEMENTID", *numbers]), K.KEY, 0.5)
-    scan = flows.add_one_scan(train, test, ["PLACEMENTID"], numbers)
-    return scan.withColumn("rmse", F.round("rmse", 4))
+    df = _prepared(spark, folder, ["PLACEMENTID", *numbers])
+    return _compared(df, flows.add_one_sets(numbers, ["PLACEMENTID"]))
 
 
 @_query
 def ablation_scan_text(spark, folder):
     added = ["UA_BROWSERVERSION", "UA_VENDOR", "CREATIVETYPE"]
-    train, test = split.hash_split(_prepared(spark, folder, ["COMBINEDID", *added]), K.KEY, 0.5)
-    return flows.add_one_scan(train, test, ["COMBINEDID"])
+    return _compared(_prepared(spark, folder, ["COMBINEDID", *added]), flows.add_one_sets(added, ["COMBINEDID"]))
+
+
+#: What the exploration still has when it adds one column after the other.
+REMAINING = [
+    c
+    for c in dict.fromkeys([*K.RAW_COLUMNS, "COMBINEDID", "COMBINEDIDWITHPLACEMENTID", "COMBINEDEXTERNALID", "PLATFORMCOMBINED", "UA_VENDORMODEL", "UA_OSCOMB", "UA_BROWSERCOMB", "INTENDENTISACTUALDEVICETYPE"])
+    if c not in (K.TARGET, *K.EXPLORE_DROPPED)
+]
+
+
+@_query
+def ablation_every_column(spark, folder):
+    """The joint id alone and with every remaining column added, but for the list of files."""
+    columns = [c for c in REMAINING if c != "FILESJSON"]
+    return _compared(_prepared(spark, folder, columns, "explore"), flows.add_one_sets(columns, ["COMBINEDID"]))
+
+
+@_query
+def ablation_file_list(spark, folder):
+    """The joint id with the list of files, a label for nearly every row; SQL's group means take too many rounds on it."""
+    columns = ["COMBINEDID", "FILESJSON"]
+    return _compared(_prepared(spark, folder, columns, "explore"), {"FILESJSON": columns})
+
+
+def _list_sets() -> dict[str, list[str]]:
+    first = flows.add_one_sets(REMAINING, K.FEATURES_LR)
+    second = flows.add_one_sets(REMAINING, K.FEATURES_LR_SECOND_BASE)
+    return {f"first {n}": x for n, x in first.items()} | {f"second {n}": x for n, x in second.items()}
+
+
+@_query
+def ablation_lists(spark, folder):
+    """Both long base lists, alone and with every remaining column added."""
+    return _compared(_prepared(spark, folder, REMAINING, "explore"), _list_sets())
+
+
+@_query
+def ablation_lists_check(spark, folder):
+    """The same lists: judged rows, and whether every label's training residuals add up to zero."""
+    found = products.fits(_prepared(spark, folder, REMAINING, "explore"), _in_train(), K.TARGET, _list_sets())
+    return found.select("name", "n", F.round("residual", 4).alias("residual"))
 
 
 @_query
 def null_key_exclusion(spark, folder):
     df = _target(spark, folder, *prepare.inputs_of("explore", ["COMBINEDID", "PLATFORMCOMBINED"]))
     df = prepare.add_features(df, "explore")
-    train, test = split.hash_split(df, K.KEY, 0.5)
     sets = {"COMBINEDID": ["COMBINEDID"], "PLATFORMCOMBINED": ["PLATFORMCOMBINED"]}
-    result = flows.without_key(train, test, "PLATFORMCOMBINED", "null_null", sets)
+    result = flows.without_key(df, _in_train(), "PLATFORMCOMBINED", "null_null", sets)
     return result.withColumn("rmse", F.round("rmse", 4))
 
 
@@ -637,6 +760,55 @@ def rebalanced_rf(spark, folder):
     return scored
 
 
+def _two_logs(spark: SparkSession, folder: str) -> tuple[str, str]:
+    ads = impressions(spark, folder)
+    paths = scratch_path(spark, "train"), scratch_path(spark, "valid")
+    for part, path in zip(split.hash_split(ads, K.KEY), paths):
+        tsv.write_tsv(part, path)
+    return paths
+
+
+@_query
+def train_validate_job(spark, folder):
+    """Train on one file, judge on another, each with its own trim: row counts, and the actual values per bin and edge."""
+    train, valid = _two_logs(spark, folder)
+    report = flows.train_job(
+        spark, train, scratch_path(spark, "model"), valid_path=valid, forest={"trees": 5, "depth": 8, "rows": 0.9, "columns": "0.6"}, upper=200.0, width=WIDTH
+    )
+    counts = report.counts.unpivot(["file"], ["n_rows", "n_imputed", "n_malformed", "n_kept"], "measure", "n")
+    parts = [
+        counts.select(F.concat_ws(" ", "file", "measure").alias("measure"), F.lit(None).cast("bigint").alias("bin"), "n"),
+        report.error.select(F.lit("judged").alias("measure"), F.lit(None).cast("bigint").alias("bin"), "n"),
+        report.histogram.select(F.lit("histogram").alias("measure"), "bin", F.col(f"n_{K.TARGET.lower()}").alias("n")),
+        report.profile.select(F.lit("profile").alias("measure"), "bin", "n"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_query
+def score_histogram(spark, folder):
+    """Score a file: its rows, its predictions, and the predictions counted in the histogram."""
+    logs, saved = scratch_path(spark, "log"), scratch_path(spark, "model")
+    tsv.write_tsv(impressions(spark, folder), logs)
+    flows.train_job(spark, logs, saved, features=K.FEATURES_RF_LITE, forest={"trees": 5, "depth": 6})
+    report = flows.score_job(spark, logs, saved, width=WIDTH)
+    return report.counts.crossJoin(report.histogram.agg(F.sum("n_prediction").alias("n_in_histogram")))
+
+
+@_query
+def measures_at_once(spark, folder):
+    """Error, both histograms and the profile of the group mean from one pass."""
+    df = _with_group_mean(_target(spark, folder, "PLACEMENTID"), "PLACEMENTID")
+    found = measures.measure(df, K.TARGET, "prediction", WIDTH)
+    none = F.lit(None).cast("bigint")
+    parts = [
+        found.error.select(F.lit("error").alias("measure"), none.alias("bin"), "n", none.alias("n_prediction"), _r("rmse", "value")),
+        found.histogram.select(F.lit("histogram").alias("measure"), "bin", F.col("n_adloadingtime").alias("n"), "n_prediction", F.col("lower").alias("value")),
+        found.profile.select(F.lit("profile").alias("measure"), "bin", "n", none.alias("n_prediction"), _r("mean_abs_error", "value")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @_query
 def train_apply_roundtrip(spark, folder):
     """Train from a file, score a file with the saved model, compare with the model in memory."""

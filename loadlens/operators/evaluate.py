@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadlens.functions.cleaning import present
+
+
+def error_of(actual: Column | str, predicted: Column | str) -> Column:
+    """Actual minus predicted; NULL where either is missing."""
+    return present(actual) - present(predicted)
+
 
 def rmse_of(actual: Column | str, predicted: Column | str) -> Column:
-    """Root mean squared error as an aggregate expression."""
-    actual, predicted = (F.col(c) if isinstance(c, str) else c for c in (actual, predicted))
-    return F.sqrt(F.avg((actual - predicted) * (actual - predicted)))
+    """Root mean squared error as an aggregate expression, over the rows that have both values."""
+    error = error_of(actual, predicted)
+    return F.sqrt(F.avg(error * error))
 
 
 def rmse(df: DataFrame, actual: str, predicted: str, by: list[str] | None = None) -> DataFrame:
-    """``n`` and ``rmse``, over all rows or per group."""
-    return df.groupBy(*(by or [])).agg(F.count("*").alias("n"), rmse_of(actual, predicted).alias("rmse"))
+    """``n`` and ``rmse``, over all rows or per group; ``n`` counts the rows that enter."""
+    return df.groupBy(*(by or [])).agg(F.count(error_of(actual, predicted)).alias("n"), rmse_of(actual, predicted).alias("rmse"))
 
 
 def baseline_rmse(df: DataFrame, actual: str, constant: float | None = None) -> DataFrame:
-    """Error of predicting one number everywhere; by default the mean."""
+    """Error of predicting one number everywhere; by default the mean. Missing values do not count."""
+    df = df.select(present(actual).alias(actual))
     error = F.stddev_pop(actual) if constant is None else rmse_of(actual, F.lit(constant))
     return df.agg(F.count(actual).alias("n"), F.avg(actual).alias("mean"), error.alias("rmse"))
 

@@ -36,9 +36,12 @@ def group_spread(
 
 
 def group_means(df: DataFrame, features: list[str], value: str) -> DataFrame:
-    """Mean of ``value`` per level of each feature, all features in one pass."""
+    """Mean of ``value`` per level of each feature, all features in one pass.
+
+    Missing values are not counted; a level without any has n = 0 and no mean.
+    """
     return (
-        df.select(value, *[F.col(f).cast("string") for f in features])
+        df.select(present(value).alias(value), *[F.col(f).cast("string") for f in features])
         .unpivot([value], features, "feature", "level")
         .groupBy("feature", "level")
         .agg(F.count(value).alias("n"), F.avg(value).alias("mean"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.constants import NULL_TEXT
+from loadlens.functions.cleaning import present
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -18,7 +19,7 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     columns = list(columns or df.columns)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
     counted = text.unpivot([], columns, "column", "value").groupBy("column", "value").agg(F.count("*").alias("n"))
-    n, x = F.col("n"), F.col("value").try_cast("double")
+    n, x = F.col("n"), present(F.col("value").try_cast("double"))
     # Most frequent value, the alphabetically first one on a tie.
     top = F.min(F.when(F.col("value").isNotNull(), F.struct((-n).alias("n"), F.col("value").alias("value"))))
     summary = counted.groupBy("column").agg(

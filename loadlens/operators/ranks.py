@@ -34,7 +34,8 @@ def join_on(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner"
     """Join on keys of which NULL equals NULL; the keys come out once."""
     right = other.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
-    return df.join(right, same, how).drop(*[f"_right_{k}" for k in keys])
+    joined = df.join(right, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def _first_slot(x: Column) -> Column:

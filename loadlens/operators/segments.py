@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.constants import SEGMENT_KEYS, SLOW_MEDIAN
-from loadlens.operators.ranks import SMALL_GROUP, group_quantile
+from loadlens.operators.ranks import SMALL_GROUP, group_quantile, join_on
 from loadlens.session import as_lookup
 
 
@@ -18,11 +18,13 @@ def slow_groups(
 
 
 def rows_in(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(as_lookup(groups), keys, "left_semi")
+    """Rows whose key is among the groups; a NULL key is a group like any other."""
+    return join_on(df, as_lookup(groups.select(*keys)), keys, "left_semi")
 
 
 def rows_not_in(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(as_lookup(groups), keys, "left_anti")
+    """The other rows; together with ``rows_in`` every row comes out once."""
+    return join_on(df, as_lookup(groups.select(*keys)), keys, "left_anti")
 
 
 def flag_rows(df: DataFrame, groups: DataFrame, keys: list[str], flag: str = "is_slow") -> DataFrame:
@@ -31,9 +33,10 @@ def flag_rows(df: DataFrame, groups: DataFrame, keys: list[str], flag: str = "is
     ``groups`` holds each key once.
     """
     marked = groups.select(*keys).withColumn("_member", F.lit(True))
-    return df.join(as_lookup(marked), keys, "left").withColumn(flag, F.col("_member").isNotNull()).drop("_member")
+    return join_on(df, as_lookup(marked), keys, "left").withColumn(flag, F.col("_member").isNotNull()).drop("_member")
 
 
 def split_by_flag(df: DataFrame, flag: str) -> tuple[DataFrame, DataFrame]:
-    """Rows without and with the flag."""
-    return df.filter(~F.col(flag)), df.filter(F.col(flag))
+    """Rows without and with the flag; a missing flag is no flag."""
+    marked = F.col(flag).eqNullSafe(True)
+    return df.filter(~marked), df.filter(marked)

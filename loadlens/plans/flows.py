@@ -5,37 +5,57 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loadlens import constants as K
-from loadlens.functions.bins import edge_count
-from loadlens.operators.evaluate import rmse, shifted
-from loadlens.operators.histogram import edges_for, error_profile, histogram
+from loadlens.functions.cleaning import as_double
+from loadlens.operators.evaluate import error_of, rmse, rmse_of, shifted
+from loadlens.operators.measures import measure
+from loadlens.operators.products import MAX_SUMS, fits
 from loadlens.operators.rebalance import rebalance
 from loadlens.operators.segments import flag_rows, slow_groups, split_by_flag
 from loadlens.operators.split import hash_split
-from loadlens.operators.trim import cap_below, drop_key
+from loadlens.operators.trim import cap_below, keep_below, percentile_limit
 from loadlens.plans.models import Model, fit_encoders, fit_forest, fit_linear, text_features
 from loadlens.plans.prepare import prepare
-from loadlens.session import cut_lineage
+from loadlens.session import cut_lineage, scratch_path
 from loadlens.sources.tsv import read_tsv, write_predictions
 
 Fit = Callable[[DataFrame, list[str]], Model]
 
 
-def compare_features(
-    train: DataFrame,
-    test: DataFrame,
+def compare_lists(
+    df: DataFrame,
+    train: Column,
     sets: dict[str, list[str]],
     target: str = K.TARGET,
     iterations: int = 100,
+    max_sums: int = MAX_SUMS,
 ) -> DataFrame:
     """Test error of one linear model per named feature list: ``name``, ``n``, ``rmse``.
 
-    Labels are counted and indexed once for all lists; the indexed halves are
-    kept while the models are fitted.
+    The rows are read once: all models are solved from shared sums of products.
+    Only where these are too many (label pairs without end), each model is
+    fitted by the learner instead. Rows of which ``train`` is NULL are not used.
     """
+    found = fits(df, train, target, sets, max_sums)
+    if found is not None:
+        return found.select("name", "n", "rmse")
+    return _compare_by_learner(df.filter(train), df.filter(~train), sets, target, iterations)
+
+
+def compare_features(
+    train: DataFrame, test: DataFrame, sets: dict[str, list[str]], target: str = K.TARGET, iterations: int = 100, max_sums: int = MAX_SUMS
+) -> DataFrame:
+    """``compare_lists`` over two frames."""
+    needed = [target, *dict.fromkeys(c for features in sets.values() for c in features)]
+    halves = [part.select(*needed, F.lit(flag).alias("_train")) for part, flag in ((train, True), (test, False))]
+    return compare_lists(halves[0].unionByName(halves[1]), F.col("_train"), sets, target, iterations, max_sums)
+
+
+def _compare_by_learner(train: DataFrame, test: DataFrame, sets: dict[str, list[str]], target: str, iterations: int) -> DataFrame:
+    """One learner run per list. Labels are counted and indexed once for all lists."""
     needed = list(dict.fromkeys(c for features in sets.values() for c in features))
     encoders = fit_encoders(train, text_features(train, needed))
     halves = [encoders.index(half.select(target, *needed)) for half in (train, test)]
@@ -55,6 +75,12 @@ def compare_features(
     return train.sparkSession.createDataFrame(rows, "name string, n bigint, rmse double")
 
 
+def add_one_sets(columns: list[str], base: list[str], skip: tuple[str, ...] = (K.KEY, K.TARGET)) -> dict[str, list[str]]:
+    """The base list, and one list with each remaining column added."""
+    sets = {"(base)": base} if base else {}
+    return sets | {c: [*base, c] for c in columns if c not in (*skip, *base)}
+
+
 def add_one_scan(
     train: DataFrame,
     test: DataFrame,
@@ -65,19 +91,15 @@ def add_one_scan(
     iterations: int = 50,
 ) -> DataFrame:
     """Test error of ``base`` alone and with each other column added."""
-    if candidates is None:
-        candidates = [c for c in train.columns if c not in (target, *skip, *base)]
-    sets = {"(base)": base} if base else {}
-    sets.update({c: [*base, c] for c in candidates})
+    sets = add_one_sets(train.columns if candidates is None else candidates, base, (target, *skip))
     return compare_features(train, test, sets, target, iterations)
 
 
-def without_key(
-    train: DataFrame, test: DataFrame, column: str, unwanted: str, sets: dict[str, list[str]], target: str = K.TARGET
-) -> DataFrame:
+def without_key(df: DataFrame, train: Column, column: str, unwanted: str, sets: dict[str, list[str]], target: str = K.TARGET) -> DataFrame:
     """Compare training with and without the rows of one key; the test rows stay the same."""
-    every = compare_features(train, test, sets, target).withColumn("train_rows", F.lit("all"))
-    fewer = compare_features(drop_key(train, column, unwanted), test, sets, target)
+    every = compare_lists(df, train, sets, target).withColumn("train_rows", F.lit("all"))
+    dropped = train & F.col(column).eqNullSafe(unwanted)
+    fewer = compare_lists(df, F.when(~dropped, train), sets, target)
     return every.unionByName(fewer.withColumn("train_rows", F.lit("without key")))
 
 
@@ -120,10 +142,9 @@ def segmented_models(
 
 def segment_errors(scored: DataFrame, target: str = K.TARGET) -> DataFrame:
     """Error per segment and pooled over both, in one pass."""
-    squared = (F.col(target) - F.col("prediction")) * (F.col(target) - F.col("prediction"))
     return (
         scored.rollup("segment")
-        .agg(F.count("*").alias("n"), F.sqrt(F.avg(squared)).alias("rmse"))
+        .agg(F.count(error_of(target, "prediction")).alias("n"), rmse_of(target, "prediction").alias("rmse"))
         .select(F.coalesce("segment", F.lit("pooled")).alias("segment"), "n", "rmse")
     )
 
@@ -149,12 +170,35 @@ def rebalanced_forest(
 
 @dataclass
 class TrainReport:
-    """What a training job measured on its validation (or training) rows."""
+    """What a training job measured on its validation (or training) rows.
+
+    ``counts`` has, per file, the rows read, with a null-literal target (taken
+    as 0), with a malformed one (no number), and left after the trim.
+    """
 
     model: Model
     error: DataFrame
     histogram: DataFrame
     profile: DataFrame
+    counts: DataFrame
+
+
+def read_once(spark: SparkSession, path: str, profile: str, columns: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """Prepared columns of a log, stored, and its counts; the text is parsed once, and counted on the way."""
+    raw = read_tsv(spark, path)
+    text = F.col(K.TARGET)
+    # Counted on the raw text, under the projection that types it.
+    watch = Observation()
+    watched = raw.observe(
+        watch,
+        F.count("*").alias("n_rows"),
+        F.count_if(text == K.NULL_TEXT).alias("n_imputed"),
+        F.count_if(as_double(K.TARGET).isNull()).alias("n_malformed"),
+    )
+    stored = scratch_path(spark, "prepared")
+    prepared = prepare(watched, profile).select(*columns)
+    prepared.write.parquet(stored)
+    return spark.read.schema(prepared.schema).parquet(stored), dict(watch.get)
 
 
 def train_job(
@@ -168,11 +212,13 @@ def train_job(
     features: list[str] | None = None,
     forest: dict | None = None,
     upper: float | None = None,
+    width: float = K.BIN_WIDTH,
 ) -> TrainReport:
     """Read, prepare, trim, fit a forest, evaluate and save it.
 
-    The histogram reaches up to ``upper``, by default to the largest value. The
-    scored rows are stored once; all measures come from there.
+    Every log is parsed once; trim, fit and scores use the stored columns. The
+    scored rows are read once for all measures. The histogram reaches up to
+    ``upper``, by default to the largest value.
 
     ``profile='spark'`` takes the 15 + 3 features and the deep forest of the
     single-file job, ``production`` the 18 features and the train/validation pair.
@@ -181,28 +227,35 @@ def train_job(
         features = K.FEATURES_SPARK if profile == "spark" else K.FEATURES_RF
     if forest is None:
         forest = K.FOREST_SPARK if profile == "spark" else K.FOREST_TRAIN
-    train = prepare(read_tsv(spark, train_path), profile, trim).select(K.TARGET, *features)
+
+    def trimmed(path: str, percent: float) -> tuple[DataFrame, dict[str, int]]:
+        rows, counts = read_once(spark, path, profile, [K.TARGET, *features])
+        return keep_below(rows, K.TARGET, percentile_limit(rows, K.TARGET, percent)), counts
+
+    train, counts = trimmed(train_path, trim)
+    counted = [("train", counts, train)]
     model = fit_forest(train, features, **forest)
     model.save(model_path)
+    check = train
     if valid_path:
-        limit = trim if valid_trim is None else valid_trim
-        check = prepare(read_tsv(spark, valid_path), profile, limit).select(K.TARGET, *features)
-    else:
-        check = train
-    scored = cut_lineage(model.predict(check, keep=[K.TARGET]))
-    if upper is None:
-        edges = max(edges_for(scored, c, K.BIN_WIDTH) for c in (K.TARGET, "prediction")) + 1
-    else:
-        edges = edge_count(upper, K.BIN_WIDTH)
-    return TrainReport(
-        model,
-        rmse(scored, K.TARGET, "prediction"),
-        histogram(scored, [K.TARGET, "prediction"], K.BIN_WIDTH, edges=edges),
-        error_profile(scored, K.TARGET, "prediction", K.BIN_WIDTH),
-    )
+        check, more = trimmed(valid_path, trim if valid_trim is None else valid_trim)
+        counted.append(("validation", more, check))
+    measures = measure(model.predict(check, keep=[K.TARGET]), K.TARGET, "prediction", width, upper)
+    kept = [(name, c["n_rows"], c["n_imputed"], c["n_malformed"], rows.count()) for name, c, rows in counted]
+    table = spark.createDataFrame(kept, "file string, n_rows bigint, n_imputed bigint, n_malformed bigint, n_kept bigint")
+    return TrainReport(model, measures.error, measures.histogram, measures.profile, table)
 
 
-def apply_job(
+@dataclass
+class ScoreReport:
+    """Scored rows, the histogram of their predictions, and how many rows were read and scored."""
+
+    scored: DataFrame
+    histogram: DataFrame
+    counts: DataFrame
+
+
+def score_job(
     spark: SparkSession,
     path: str,
     model_path: str,
@@ -210,13 +263,38 @@ def apply_job(
     key: str = K.KEY,
     profile: str = "production",
     shift: float = 0.0,
-) -> DataFrame:
-    """Score a file with a saved model; every input row gets one prediction."""
+    width: float = K.BIN_WIDTH,
+    upper: float | None = None,
+) -> ScoreReport:
+    """Score a file with a saved model; every input row gets one prediction.
+
+    The log is parsed and scored once, into a stored table that the written
+    file, the histogram and the caller read.
+    """
     model = Model.load(spark, model_path)
-    rows = prepare(read_tsv(spark, path), profile, scoring=True)
-    scored = model.predict(rows, keep=[key])
+    watch = Observation()
+    raw = read_tsv(spark, path).observe(watch, F.count("*").alias("n_rows"))
+    scored = model.predict(prepare(raw, profile, scoring=True), keep=[key])
     if shift:
         scored = shifted(scored, "prediction", shift)
+    place = scratch_path(spark, "scored")
+    scored.write.parquet(place)
+    scored = spark.read.schema(scored.schema).parquet(place)
     if out_path:
         write_predictions(scored, out_path, key)
-    return scored
+    histogram = measure(scored, None, "prediction", width, upper).histogram
+    counts = scored.agg(F.lit(watch.get["n_rows"]).cast("bigint").alias("n_rows"), F.count("prediction").alias("n_scored"))
+    return ScoreReport(scored, histogram, counts)
+
+
+def apply_job(
+    spark: SparkSession,
+    path: str,
+    model_path: str,
+    out_path: str | None = None,
+    key: str = K.KEY,
+    profile: str = "production",
+    shift: float = 0.0,
+) -> DataFrame:
+    """The scored rows of ``score_job``."""
+    return score_job(spark, path, model_path, out_path, key, profile, shift).scored

@@ -39,6 +39,19 @@ _RULES = {
     "GEOIP_REGION": "r_name",
     "GEOIP_LAT": "if(event_id % 23 = 0, 'null', cast(c_nationkey - 12 as string))",
     "GEOIP_LNG": "if(event_id % 23 = 0, 'null', concat(c_nationkey * 7, '.5'))",
+    "GEOIP_CITY": "concat('city', user_id % 12)",
+    "GEOIP_AREACODE": "if(event_id % 3 = 0, 'null', cast(200 + user_id % 8 as string))",
+    "GEOIP_DMACODE": "if(user_id % 4 = 0, 'null', cast(500 + user_id % 15 as string))",
+    "GEOIP_METROCODE": "if(user_id % 4 = 0, 'null', cast(500 + user_id % 15 as string))",
+    "GEOIP_TIMEZONE": "concat('UTC+', event_id % 6)",
+    "CDNNAME": "concat('cdn', event_id % 4)",
+    "NETWORKTYPE": "if(event_id % 9 > 0, 'null', 'wifi')",
+    "DEVICEORIENTATION": "if(event_id % 8 < 3, '90', '0')",
+    "EXTERNALCREATIVEID": "'null'",
+    "UA_BROWSERRENDERINGENGINE": "if(user_id % 2 = 0, 'WebKit', if(event_id % 7 = 0, 'Gecko', 'Blink'))",
+    "UA_DEVICETYPE": "if(user_id % 5 = 0, 'Tablet', 'Phone')",
+    "UA_PLATFORM": "case user_id % 3 when 2 then 'null' when 1 then 'Android' else 'iOS' end",
+    "UA_PLATFORMVERSION": "if(user_id % 3 = 2, 'null', cast(user_id % 4 + 6 as string))",
     "HOSTWINDOWHEIGHT": "if(event_id % 19 = 0, 'null', cast(event_id % 1300 as string))",
     "HOSTWINDOWWIDTH": "if(event_id % 19 = 0, 'null', cast(event_id % 900 as string))",
     "TOPMOSTREACHABLEWINDOWWIDTH": "if(event_id % 13 = 0, 'null', cast(event_id % 3000 - 5 as string))",
