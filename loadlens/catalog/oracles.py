@@ -514,6 +514,11 @@ def all_oracles() -> dict[str, str]:
             f"v AS ({_label_index(['UA_VENDOR'], 'ads')})",
         ),
         "profile_columns": _raw(" UNION ALL ".join(_profile(c) for c in _RAW_NAMES)),
+        "profile_sketched": _raw(
+            'SELECT "column", n_rows, n_null_text, min_value, max_value, mean, std, TRUE AS distinct_close, TRUE AS top_close FROM ('
+            + " UNION ALL ".join(_profile(c) for c in _RAW_NAMES)
+            + ")"
+        ),
         "baseline_rmse": _typed(
             "SELECT 'mean' AS baseline, count(*) AS n, round(avg(y), 4) AS mean, round(stddev_pop(y), 4) AS rmse FROM v "
             "UNION ALL SELECT 'constant', count(*), round(avg(y), 4), "

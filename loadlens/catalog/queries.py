@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loadlens import constants as K
 from loadlens.functions import cleaning, files
 from loadlens.functions.bins import nearest_edge
-from loadlens.operators import evaluate, groups, histogram, measures, products, ranks, segments, split, trim
+from loadlens.operators import evaluate, groups, histogram, measures, products, profile, ranks, segments, split, trim
 from loadlens.operators.profile import column_profile
 from loadlens.operators.rebalance import rebalance
 from loadlens.plans import flows, models, prepare
@@ -315,6 +315,25 @@ def profile_columns(spark, folder):
     return p.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 
+@_query
+def profile_sketched(spark, folder):
+    """The one-pass profile, each sketch held against the exact profile and its stated bound."""
+    ads = impressions(spark, folder)
+    rough, exact = profile.sketch_profile(ads), column_profile(ads).select("column", F.col("n_distinct").alias("_distinct"), F.col("top_count").alias("_top"))
+    both = rough.join(exact, "column")
+    return both.select(
+        "column",
+        "n_rows",
+        "n_null_text",
+        "min_value",
+        "max_value",
+        _r("mean", "mean"),
+        _r("std", "std"),
+        (F.abs(F.col("n_distinct") - F.col("_distinct")) <= profile.DISTINCT_BOUND * F.col("_distinct") + 0.5).alias("distinct_close"),
+        (F.abs(F.col("top_count") - F.col("_top")) <= profile.TOP_BOUND * F.col("n_rows")).alias("top_close"),
+    )
+
+
 # --- errors and histograms ---------------------------------------------------
 
 
@@ -371,8 +390,8 @@ def nearest_edges(spark, folder):
 @_query
 def error_profile(spark, folder):
     df = _with_group_mean(_target(spark, folder, "PLACEMENTID"), "PLACEMENTID")
-    profile = histogram.error_profile(df, K.TARGET, "prediction", WIDTH)
-    return profile.withColumn("mean_abs_error", F.round("mean_abs_error", 4))
+    found = histogram.error_profile(df, K.TARGET, "prediction", WIDTH)
+    return found.withColumn("mean_abs_error", F.round("mean_abs_error", 4))
 
 
 @_query
@@ -380,8 +399,8 @@ def error_profile_pooled(spark, folder):
     df = _target(spark, folder, "SDK", "PLACEMENTID")
     parts = segments.split_by_flag(df.withColumn("mraid", F.col("SDK") == "MRAID"), "mraid")
     scored = [_with_group_mean(part, "PLACEMENTID") for part in parts]
-    profile = histogram.pooled_error_profile(scored, K.TARGET, "prediction", WIDTH)
-    return profile.withColumn("mean_abs_error", F.round("mean_abs_error", 4))
+    found = histogram.pooled_error_profile(scored, K.TARGET, "prediction", WIDTH)
+    return found.withColumn("mean_abs_error", F.round("mean_abs_error", 4))
 
 
 # --- splits, segments, rebalancing -------------------------------------------
@@ -469,8 +488,8 @@ def missing_in_measures(spark, folder):
     error = evaluate.rmse(df, "y", "p").select(F.lit("rmse").alias("measure"), F.lit(None).cast("string").alias("level"), "n", F.col("rmse").alias("value"))
     base = evaluate.baseline_rmse(df, "y").select(F.lit("baseline").alias("measure"), F.lit(None).cast("string").alias("level"), "n", F.col("rmse").alias("value"))
     means = groups.group_means(df, ["place"], "y").select(F.lit("mean").alias("measure"), "level", "n", F.col("mean").alias("value"))
-    profile = histogram.error_profile(df, "y", "p", WIDTH).select(F.lit("profile").alias("measure"), F.col("bin").cast("string").alias("level"), "n", F.col("mean_abs_error").alias("value"))
-    return error.unionByName(base).unionByName(means).unionByName(profile).withColumn("value", F.round("value", 4))
+    near = histogram.error_profile(df, "y", "p", WIDTH).select(F.lit("profile").alias("measure"), F.col("bin").cast("string").alias("level"), "n", F.col("mean_abs_error").alias("value"))
+    return error.unionByName(base).unionByName(means).unionByName(near).withColumn("value", F.round("value", 4))
 
 
 @_query

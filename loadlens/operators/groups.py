@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions.cleaning import filled, present
-from loadlens.operators.ranks import SMALL_GROUP, big_groups, join_on, searched_quantile
-from loadlens.session import as_lookup, cut_lineage, measured
+from loadlens.operators.ranks import SMALL_GROUP, grouped_quantile
+from loadlens.session import cut_lineage, measured
 
 
 def group_spread(
@@ -25,14 +25,8 @@ def group_spread(
     plain = [F.count(value).alias("n"), F.avg(value).alias("mean"), deviation.alias("std")]
     if approximate:
         return df.groupBy(*keys).agg(*plain, F.percentile_approx(value, 0.5, 10_000).alias("median"))
-    exact = F.percentile(value, F.lit(0.5)).alias("median")
-    big = big_groups(df, keys, value, small)
-    if big is None:
-        return df.groupBy(*keys).agg(*plain, exact)
-    lookup = as_lookup(big.select(*keys))
-    medians = searched_quantile(df, keys, value, 0.5, big).withColumnRenamed("_quantile", "median")
-    large = join_on(join_on(df, lookup, keys, "left_semi").groupBy(*keys).agg(*plain), medians, keys)
-    return join_on(df, lookup, keys, "left_anti").groupBy(*keys).agg(*plain, exact).unionByName(large)
+    found = grouped_quantile(df, keys, value, 0.5, plain, small)
+    return found.select(*keys, "n", "mean", "std", F.col("_quantile").alias("median"))
 
 
 def group_means(df: DataFrame, features: list[str], value: str) -> DataFrame:
@@ -84,10 +78,33 @@ def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
     return number_labels(label_counts(df, columns))
 
 
+#: A label on more than this share of the counted rows is hot; there are at most a thousand such labels.
+HOT_SHARE = 0.001
+#: Shares into which rows that need no shuffle lookup any more are dealt.
+_SALTS = 1_024
+
+
 def encode_labels(df: DataFrame, column: str, index: DataFrame, out: str) -> DataFrame:
     """Look up the index of each row's label in a stored table; NULL for a label not indexed.
 
-    A NULL label is looked up as the empty text, as the reader gives it.
+    A NULL label is looked up as the empty text, as the reader gives it. A list
+    too long to broadcast is split: the few hot labels are broadcast, and only
+    the others are looked up by a shuffle, through which rows of hot labels pass
+    dealt out evenly. So no task gets all rows of one label, whatever adaptive
+    execution does.
     """
-    lookup = index.filter(F.col("feature") == column).select(F.col("label").alias("_label"), F.col("idx").alias(out))
-    return df.join(measured(lookup), filled(column) == F.col("_label"), "left").drop("_label")
+    mine = index.filter(F.col("feature") == column)
+    lookup = mine.select(F.col("label").alias("_label"), F.col("idx").alias(out))
+    whole = measured(lookup)
+    if whole is not lookup:
+        return df.join(whole, filled(column) == F.col("_label"), "left").drop("_label")
+    total = mine.agg(F.sum("n")).first()[0]
+    hot = mine.filter(F.col("n") > HOT_SHARE * total).select(F.col("label").alias("_hot"), F.col("idx").alias("_known"))
+    rest = mine.filter(F.col("n") <= HOT_SHARE * total).select(F.col("label").alias("_label"), F.lit(0).alias("_zero"), F.col("idx").alias(out))
+    settled = F.col("_known").isNotNull()
+    salt = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SALTS))
+    keyed = df.join(F.broadcast(hot), filled(column) == F.col("_hot"), "left").withColumns(
+        {"_key": F.when(~settled, filled(column)), "_salt": F.when(settled, salt).otherwise(0).cast("int")}
+    )
+    found = keyed.join(rest, (F.col("_key") == F.col("_label")) & (F.col("_salt") == F.col("_zero")), "left")
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("_known", out).alias(out))

@@ -1,13 +1,15 @@
 """Exact order statistics by counting, without gathering the values.
 
-A quantile of a big column must not pull that column into one task. The search
-here counts rows per slot of the value range, keeps the slot in which the wanted
-rank falls and splits only that slot again, until it holds a single value. Each
-pass is one map-side-combined count with a bounded number of slots; no value is
-collected, and a group that holds most of the rows is counted by all tasks.
-
-Groups of at most ``SMALL_GROUP`` rows (this is checked) go to the built-in
-aggregate or a window instead, where one pass is enough.
+A quantile of a big column must not pull that column into one task. Quantiles
+read the rows twice, whatever the size of a group: a mergeable sketch first
+gives a bracket around the wanted rank, then the values in the bracket are
+counted, those below it only as one number. What is stored then is a few
+hundredths of the rows at most, and the value at the rank is looked for there.
+
+A rank in a long list is searched by slots: count per slot of the value range,
+keep the slot in which the rank falls and split only that one again, until it
+holds a single value. Each pass is one map-side-combined count with a bounded
+number of slots.
 """
 
 from __future__ import annotations
@@ -19,15 +21,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loadlens.functions.cleaning import present
-from loadlens.session import as_lookup, cut_lineage
+from loadlens.session import as_lookup, cut_lineage, measured
 
-# Largest group handed to one aggregation buffer or one window partition.
+# Most values of one group that are put in order in one task.
 SMALL_GROUP = 250_000
 # The first pass cuts every power of two in this many slots: at most
 # 2 * 1024 * 64 slots over all doubles, some hundreds for load times.
 _SLOTS_PER_OCTAVE = 64
 # Later passes cut the open range evenly.
 _SLOTS = 16_384
+# Size of a sketch, and the share of ranks to both sides of the wanted one that its bracket spans: some
+# six times the error that a sketch of this size has in one of a hundred cases. A bracket that misses is noticed.
+_SKETCH, _MARGIN = 1_024, 0.02
 
 
 def join_on(df: DataFrame, other: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -49,30 +54,60 @@ def _inner_slot(x: Column, low: Column, high: Column) -> Column:
 
 
 def _range_counts() -> list[Column]:
-    return [F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    return [F.sum("_w").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
 
 
-def percentiles(df: DataFrame, value: str, percents: list[float]) -> list[float | None]:
+def _bracket(sketch: str, q: float) -> tuple[Column, Column]:
+    """Values that the sketch puts a margin below and above the quantile; unbounded at the ends."""
+    low, high = q - _MARGIN, q + _MARGIN
+    at = lambda rank: F.kll_sketch_get_quantile_double(sketch, F.lit(float(rank)))
+    least, most = F.lit(float("-inf")), F.lit(float("inf"))
+    return (at(low) if low > 0 else least), (at(high) if high < 1 else most)
+
+
+def percentiles(df: DataFrame, value: str, percents: list[float], margin: bool = True) -> list[float | None]:
     """Linearly interpolated percentiles of a whole column, as driver scalars.
 
-    Only slot counts reach the driver. All percentiles share the passes.
+    Two passes over the rows, shared by all percentiles; only slot counts reach
+    the driver. ``margin=False`` brackets the whole column: what is done anyway
+    should a sketch have missed.
     """
-    column = df.select(present(F.col(value).cast("double")).alias("_v")).filter("_v is not null").persist()
-    try:
-        slots = sorted(column.groupBy(_first_slot(F.col("_v")).alias("_slot")).agg(*_range_counts()).collect())
-        total = sum(s["_n"] for s in slots)
-        if total == 0:
+    column = df.select(present(F.col(value).cast("double")).alias("_v")).filter("_v is not null")
+    ends = [(float("-inf"), float("inf"))]
+    if margin:
+        sketched = column.agg(F.kll_sketch_agg_double("_v", _SKETCH).alias("s"), F.count("*").alias("n"))
+        wanted = [F.when(F.col("n") > 0, F.struct(*_bracket("s", p / 100.0))) for p in percents]
+        first = sketched.select("n", *[w.alias(f"b{i}") for i, w in enumerate(wanted)]).first()
+        if first["n"] == 0:
             return [None] * len(percents)
-        positions = [p / 100.0 * (total - 1) for p in percents]
-        ranks = sorted({r for h in positions for r in (math.floor(h), math.ceil(h))})
-        found = _descend(column, {r: _pick(slots, r) for r in ranks})
-        answers = []
-        for h in positions:
-            below, above = found[math.floor(h)], found[math.ceil(h)]
-            answers.append(below if below == above else below + (above - below) * (h - math.floor(h)))
-        return answers
-    finally:
-        column.unpersist()
+        ends = []
+        for low, high in sorted(tuple(first[f"b{i}"]) for i in range(len(percents))):
+            if ends and low <= ends[-1][1]:
+                ends[-1] = (ends[-1][0], max(high, ends[-1][1]))
+            else:
+                ends.append((low, high))
+    # Parts in order: even ones are the gaps, counted as one number each; odd ones the brackets, value by value.
+    v = F.col("_v")
+    part = F.lit(0)
+    for i, (low, high) in enumerate(ends):
+        part = F.when(v > high, 2 * i + 2).when(v >= low, 2 * i + 1).otherwise(part)
+    placed = column.select(part.alias("_part"), "_v")
+    counted = cut_lineage(placed.groupBy("_part", F.when(F.col("_part") % 2 == 1, v).alias("_v")).agg(F.count("*").alias("_w")))
+    parts = sorted(counted.groupBy("_part").agg(*_range_counts()).collect())
+    total = sum(r["_n"] for r in parts)
+    if total == 0:
+        return [None] * len(percents)
+    positions = [p / 100.0 * (total - 1) for p in percents]
+    ranks = sorted({r for h in positions for r in (math.floor(h), math.ceil(h))})
+    brackets = {r: _pick(parts, r) for r in ranks}
+    if any(b[1] is None for b in brackets.values()):  # a rank in a gap
+        return percentiles(df, value, percents, margin=False)
+    found = _descend(counted.filter("_v is not null"), brackets)
+    answers = []
+    for h in positions:
+        below, above = found[math.floor(h)], found[math.ceil(h)]
+        answers.append(below if below == above else below + (above - below) * (h - math.floor(h)))
+    return answers
 
 
 def _pick(slots, rank: int, before: int = 0) -> tuple[int, float, float]:
@@ -95,7 +130,7 @@ def _descend(column: DataFrame, brackets: dict[int, tuple[int, float, float]]) -
             here = F.struct(F.lit(i).alias("b"), _inner_slot(v, F.lit(low), F.lit(high)).alias("s"))
             place = F.when(v.between(low, high), here).otherwise(place)
         rows = (
-            column.select("_v", place.alias("_at"))
+            column.select("_v", "_w", place.alias("_at"))
             .filter("_at is not null")
             .groupBy(F.col("_at.b").alias("_b"), F.col("_at.s").alias("_slot"))
             .agg(*_range_counts())
@@ -107,13 +142,14 @@ def _descend(column: DataFrame, brackets: dict[int, tuple[int, float, float]]) -
                 brackets[rank] = _pick([r for _, r in split[b]], rank, b[0])
 
 
-def values_at_ranks(df: DataFrame, keys: list[str], value: str, targets: DataFrame) -> DataFrame:
+def values_at_ranks(df: DataFrame, keys: list[str], value: str, targets: DataFrame, weight: Column | None = None) -> DataFrame:
     """Value at a rank (0-based, ascending) of each group, for groups of any size.
 
     ``targets`` holds the keys and a column ``_rank``; several ranks per group
-    are allowed. Returns keys, ``_rank`` and ``_value``. A NULL key is a group too.
+    are allowed. Returns keys, ``_rank`` and ``_value``. A NULL key is a group
+    too. A row counts ``weight`` times.
     """
-    rows = df.select(*keys, present(value).alias("_v")).filter("_v is not null")
+    rows = df.select(*keys, present(value).alias("_v"), (F.lit(1) if weight is None else weight).alias("_w")).filter("_v is not null")
     first = (
         join_on(rows, as_lookup(targets.select(*keys).distinct()), keys, "left_semi")
         .groupBy(*keys, _first_slot(F.col("_v")).alias("_slot"))
@@ -147,38 +183,64 @@ def values_at_ranks(df: DataFrame, keys: list[str], value: str, targets: DataFra
         state = state.filter("_low = _high").unionByName(narrowed)
 
 
-def big_groups(df: DataFrame, keys: list[str], value: str, small: int = SMALL_GROUP) -> DataFrame | None:
-    """Keys and ``_size`` of the groups too large for one buffer, None if there are none."""
-    sizes = df.groupBy(*keys).agg(F.count(present(value)).alias("_size"))
-    big = cut_lineage(sizes.filter(F.col("_size") > small))
-    return None if big.isEmpty() else big
+def grouped_quantile(
+    df: DataFrame, keys: list[str], value: str, q: float, more: list[Column] | None = None, small: int = SMALL_GROUP, margin: float = _MARGIN
+) -> DataFrame:
+    """Exact interpolated quantile per group: keys, the aggregates ``more``, and ``_quantile``.
+
+    Two passes over the rows: sketch and aggregates, then the counts around the
+    wanted rank. ``small`` bounds the values of one group's bracket that are put
+    in order in one task; longer brackets are searched by slots. A group without
+    a value has NULL.
+    """
+    v = present(F.col(value).cast("double"))
+    sketched = [F.count(v).alias("_size"), F.kll_sketch_agg_double(v, _SKETCH).alias("_sketch")]
+    first = df.groupBy(*keys).agg(*(more or []), *sketched)
+    names = [c for c in first.columns if c not in ("_size", "_sketch")]
+    low, high = _bracket("_sketch", q)
+    if margin >= 1:
+        low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    filled_in = F.col("_size") > 0
+    groups = cut_lineage(
+        first.select(*names, "_size", F.when(filled_in, low).alias("_low"), F.when(filled_in, high).alias("_high"), (F.lit(q) * (F.col("_size") - 1)).alias("_at"))
+    )
+    answers = _in_brackets(df, keys, v, groups, small)
+    missed = groups.filter("_size > 0").select(*keys)
+    missed = cut_lineage(join_on(missed, answers, keys, "left_anti"))
+    if not missed.isEmpty():  # a sketch was off: the whole of these groups is counted
+        again = join_on(groups, as_lookup(missed), keys, "left_semi").withColumns({"_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))})
+        answers = answers.unionByName(_in_brackets(df, keys, v, cut_lineage(again), small))
+    return join_on(groups.select(*names), measured(cut_lineage(answers)), keys, "left")
+
+
+def _in_brackets(df: DataFrame, keys: list[str], v: Column, groups: DataFrame, small: int) -> DataFrame:
+    """keys and _quantile of the groups whose bracket holds the wanted rank."""
+    bounds = measured(groups.filter("_size > 0").select(*keys, "_low", "_high"))
+    rows = join_on(df.select(*keys, v.alias("_v")).filter("_v is not null"), bounds, keys).filter("_v <= _high")
+    counted = cut_lineage(rows.groupBy(*keys, F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v")).agg(F.count("*").alias("_w")))
+    spots = groups.select(*keys, "_at", F.floor("_at").alias("_lower"), F.ceil("_at").alias("_upper"))
+    sizes = counted.groupBy(*keys).agg(F.count("_v").alias("_values"), F.sum("_w").alias("_reach"), F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_w"))), F.lit(0)).alias("_below"))
+    held = cut_lineage(join_on(spots, sizes, keys).filter("_lower >= _below and _upper < _reach"))
+    short = held.filter(F.col("_values") <= small)
+    through = F.sum("_w").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")))
+    ordered = join_on(counted, measured(short.select(*keys, "_at", "_lower", "_upper")), keys).withColumn("_to", through)
+    at = lambda rank: F.max(F.when((F.col("_to") - F.col("_w") <= F.col(rank)) & (F.col(rank) < F.col("_to")), F.col("_v")))
+    found = ordered.groupBy(*keys, "_at").agg(at("_lower").alias("_lo"), at("_upper").alias("_hi"))
+    long = held.filter(F.col("_values") > small)
+    if not long.isEmpty():
+        ranks = lambda c: long.select(*keys, (F.col(c) - F.col("_below")).alias("_rank"))
+        values = values_at_ranks(counted, keys, "_v", ranks("_lower").unionByName(ranks("_upper")).distinct(), F.col("_w"))
+        searched = join_on(long.select(*keys, "_at"), values, keys).groupBy(*keys, "_at").agg(F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
+        found = found.unionByName(searched)
+    low, high, place = F.col("_lo"), F.col("_hi"), F.col("_at")
+    # As the built-in aggregate weighs the two.
+    weighed = F.when(low == high, low).otherwise((F.ceil(place) - place) * low + (place - F.floor(place)) * high)
+    return found.select(*keys, weighed.alias("_quantile"))
 
 
 def group_quantile(df: DataFrame, keys: list[str], value: str, q: float, small: int = SMALL_GROUP) -> DataFrame:
     """Exact interpolated quantile per group: keys and ``_quantile``."""
-    built_in = F.percentile(present(value), F.lit(q)).alias("_quantile")
-    big = big_groups(df, keys, value, small)
-    if big is None:
-        return df.groupBy(*keys).agg(built_in)
-    rest = join_on(df, as_lookup(big), keys, "left_anti").groupBy(*keys).agg(built_in)
-    return rest.unionByName(searched_quantile(df, keys, value, q, big))
-
-
-def searched_quantile(df: DataFrame, keys: list[str], value: str, q: float, big: DataFrame) -> DataFrame:
-    """Quantile of the groups in ``big`` by counting search."""
-    spots = big.select(*keys, (F.lit(q) * (F.col("_size") - 1)).alias("_at"))
-    lower = spots.select(*keys, F.floor("_at").alias("_rank"))
-    upper = spots.select(*keys, F.ceil("_at").alias("_rank"))
-    numbers = df.withColumn(value, F.col(value).cast("double"))
-    found = values_at_ranks(numbers, keys, value, lower.unionByName(upper).distinct())
-    low, high, at = F.col("_lo"), F.col("_hi"), F.col("_at")
-    return (
-        join_on(spots, found, keys)
-        .groupBy(*keys, "_at")
-        .agg(F.min("_value").alias("_lo"), F.max("_value").alias("_hi"))
-        # As the built-in aggregate weighs the two, so that the size of a group changes no digit.
-        .select(*keys, F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high).alias("_quantile"))
-    )
+    return grouped_quantile(df, keys, value, q, small=small)
 
 
 def cutoffs(df: DataFrame, keys: list[str], order: str, counts: DataFrame, small: int = SMALL_GROUP) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadlens.constants import BIN_WIDTH, REBALANCE_TARGET, REBALANCE_WHOLE_BINS
@@ -69,8 +69,24 @@ def rebalance(
     limits = cutoffs(binned, ["bin"], order, plan.filter("_take > 0"), small)
     steps = as_lookup(plan.join(limits, "bin", "left").select("bin", "_repeat", "_cut"))
     times = F.col("_repeat") + F.when(F.col(order) <= F.col("_cut"), 1).otherwise(0)
-    return (
-        binned.join(steps, "bin")
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-        .select(*df.columns, "bin")
-    )
+    most = plan.agg(F.max(F.col("_repeat"))).first()[0] or 0
+    return copied(binned.join(steps, "bin"), times.cast("bigint"), order, most + 1).select(*df.columns, "bin")
+
+
+#: Copies that one array holds; a row with more is copied block by block, in several tasks.
+COPY_BLOCK = 1_000
+
+
+def copied(df: DataFrame, times: Column, order: str, most: int) -> DataFrame:
+    """Every row ``times`` over (not at all for 0); ``most`` bounds the number.
+
+    Beyond ``COPY_BLOCK`` the row first becomes one row per block of copies, and
+    these are dealt out by key and block, so that a few rows with very many
+    copies end neither in one task nor in one array.
+    """
+    rows = df.withColumn("_times", times).filter("_times > 0")
+    if most > COPY_BLOCK:
+        blocks = F.sequence(F.lit(0), F.floor((F.col("_times") - 1) / COPY_BLOCK).cast("int"))
+        rows = rows.withColumn("_block", F.explode(blocks)).repartition(order, "_block")
+        rows = rows.withColumn("_times", F.least(F.lit(COPY_BLOCK), F.col("_times") - F.col("_block") * COPY_BLOCK)).drop("_block")
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int")))).drop("_copy", "_times")
