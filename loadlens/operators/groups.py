@@ -100,7 +100,8 @@ def encode_labels(df: DataFrame, column: str, index: DataFrame, out: str) -> Dat
         return df.join(whole, filled(column) == F.col("_label"), "left").drop("_label")
     total = mine.agg(F.sum("n")).first()[0]
     hot = mine.filter(F.col("n") > HOT_SHARE * total).select(F.col("label").alias("_hot"), F.col("idx").alias("_known"))
-    rest = mine.filter(F.col("n") <= HOT_SHARE * total).select(F.col("label").alias("_label"), F.lit(0).alias("_zero"), F.col("idx").alias(out))
+    rest = mine.filter(F.col("n") <= HOT_SHARE * total).select(F.col("label").alias("_label"), F.least("idx", F.lit(0)).cast("int").alias("_zero"), F.col("idx").alias(out))
+    # The zero is computed: a constant would be taken out of the join's keys, and with it the salt.
     settled = F.col("_known").isNotNull()
     salt = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SALTS))
     keyed = df.join(F.broadcast(hot), filled(column) == F.col("_hot"), "left").withColumns(
