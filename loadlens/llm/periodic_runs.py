@@ -23,6 +23,8 @@ from loadlens.session import measured
 
 #: A run has at least so many periods and words.
 PERIODS, WORDS = 4, 6
+#: Words of neighbouring tiles that travel together; a tile may be longer.
+CHAIN = 4_096
 #: Words in all tiles of a batch handed over, unless one tile is longer.
 BATCH_WORDS = 2_000_000
 _BLANKS = re.compile("[\x20\x09-\x0d]+")
@@ -40,12 +42,25 @@ def numbered(words: list[str]) -> np.ndarray:
     return np.array([known.setdefault(w, len(known)) for w in words], np.int32)
 
 
-def boundaries(ids: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(S, b) of the boundaries at which a period of the octave may match over a whole block.
+#: Periods up to this one are remembered, so that their multiples open no tile.
+REMEMBERED = 16
+
+
+def _reach(ids: np.ndarray, period: int) -> np.ndarray:
+    """For each position, how many words from there on equal the word one period later."""
+    same = ids[:-period] == ids[period:]
+    place = np.arange(len(same))
+    stop = np.minimum.accumulate(np.where(same, len(same), place)[::-1])[::-1]
+    return np.concatenate([stop - place, np.zeros(period, np.int64)])
+
+
+def boundaries(ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """S and the boundaries at which a period of the octave may match over a whole block.
 
     Blocks are compared by polynomial sums modulo 2^64: equal blocks always have
     equal sums, so no boundary of a run is missed; what a chance collision lets
-    through is settled in its tile.
+    through is settled in its tile. A match whose period is certainly a multiple
+    of a short one found before (words compared) opens no tile.
     """
     n = len(ids)
     if n < WORDS:
@@ -57,6 +72,7 @@ def boundaries(ids: np.ndarray) -> Iterator[tuple[int, int]]:
     powers = np.cumprod(np.full(n, _BASE, np.uint64))
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(mixed * powers, out=sums[1:])
+    known: dict[int, np.ndarray] = {}
     size = 1
     while PERIODS * size <= n:
         starts = np.arange(0, n - 2 * size + 1, 2 * size)
@@ -66,15 +82,31 @@ def boundaries(ids: np.ndarray) -> Iterator[tuple[int, int]]:
         partners[: min(len(block), len(partners))] = block[: len(partners)]
         partners = partners.reshape(len(starts), 2 * size)[:, size:]
         shift = powers[size - 1 : 2 * size - 1]  # powers[q - 1] moves a sum by q
-        hits = (block[starts][:, None] * shift[None, :] == partners).any(axis=1)
-        for b in starts[hits]:
-            yield size, int(b)
+        hits = block[starts][:, None] * shift[None, :] == partners
+        for d, reach in known.items():
+            first = -size % d
+            hits[:, first::d] &= reach[starts][:, None] < np.arange(size + first, 2 * size, d)[None, :] - d
+        opened = hits.any(axis=1)
+        if opened.any():
+            yield size, starts[opened]
+            if size <= REMEMBERED:
+                for q in np.flatnonzero(hits.any(axis=0)) + size:
+                    if q <= REMEMBERED:
+                        known[int(q)] = _reach(ids, int(q))
         size *= 2
 
 
-def tile_range(size: int, boundary: int, n: int) -> tuple[int, int]:
-    """First word and end of the tile around a boundary."""
-    return max(0, boundary - 2 * size), min(n, boundary + 5 * size)
+def chains(starts: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """(boundary, count): neighbouring boundaries whose tiles travel as one row, up to ``CHAIN`` words."""
+    most = max(1, CHAIN // (2 * size))
+    for part in np.split(starts, np.flatnonzero(np.diff(starts) > 2 * size) + 1):
+        for at in range(0, len(part), most):
+            yield int(part[at]), min(most, len(part) - at)
+
+
+def tile_range(size: int, boundary: int, n: int, count: int = 1) -> tuple[int, int]:
+    """First word and end of the tile around a boundary, or of the tiles of ``count`` neighbours."""
+    return max(0, boundary - 2 * size), min(n, boundary + (2 * count + 3) * size)
 
 
 def z_function(s: list[int]) -> list[int]:
@@ -134,22 +166,23 @@ def fragments(words: list[int], size: int, at: int, low: int) -> Iterator[tuple[
             yield q, low + first, low + end
 
 
-_TILE = "loc string, size int, boundary int, low int, words array<int>"
+_TILE = "loc string, size int, boundary int, count int, low int, words array<int>"
 
 
 def cut_tiles(docs: DataFrame, loc: str = "loc", text: str = "text") -> DataFrame:
-    """Overlapping tiles of every document and octave where a period may match: loc, size, boundary, low, words.
+    """Overlapping tiles of every document and octave where a period may match.
 
-    A word travels as its number within the document. Batches are handed over
+    A row (loc, size, boundary, count, low, words) holds ``count`` neighbouring
+    tiles, the first one around ``boundary``. A word travels as its number within the document. Batches are handed over
     by size, so a document that is all tiles leaves the task bit by bit.
     """
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        locs, sizes, bounds, lows, words = zip(*rows)
+        locs, sizes, bounds, counts, lows, words = zip(*rows)
         offsets = np.cumsum([0, *map(len, words)], dtype=np.int32)
         listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(words).astype(np.int32)))
-        numbers = [pa.array(c, pa.int32()) for c in (sizes, bounds, lows)]
-        return pa.RecordBatch.from_arrays([pa.array(locs, pa.string()), *numbers, listed], ["loc", "size", "boundary", "low", "words"])
+        numbers = [pa.array(c, pa.int32()) for c in (sizes, bounds, counts, lows)]
+        return pa.RecordBatch.from_arrays([pa.array(locs, pa.string()), *numbers, listed], ["loc", "size", "boundary", "count", "low", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -157,13 +190,14 @@ def cut_tiles(docs: DataFrame, loc: str = "loc", text: str = "text") -> DataFram
         for batch in batches:
             for where, body in zip(batch.column("loc"), batch.column("text")):
                 ids = numbered(words_of(body.as_py()))
-                for size, boundary in boundaries(ids):
-                    low, end = tile_range(size, boundary, len(ids))
-                    rows.append((where.as_py(), size, boundary, low, ids[low:end]))
-                    held += end - low
-                    if held >= BATCH_WORDS:
-                        yield batch_of(rows)
-                        rows, held = [], 0
+                for size, starts in boundaries(ids):
+                    for boundary, count in chains(starts, size):
+                        low, end = tile_range(size, boundary, len(ids), count)
+                        rows.append((where.as_py(), size, boundary, count, low, ids[low:end]))
+                        held += end - low
+                        if held >= BATCH_WORDS:
+                            yield batch_of(rows)
+                            rows, held = [], 0
         if rows:
             yield batch_of(rows)
 
@@ -176,9 +210,11 @@ def solve_tiles(tiles: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple] = []
-            for where, size, boundary, low, words in zip(*(batch.column(c) for c in ("loc", "size", "boundary", "low", "words"))):
-                low, boundary = low.as_py(), boundary.as_py()
-                found += [(where.as_py(), *f) for f in fragments(words.values.to_pylist(), size.as_py(), boundary - low, low)]
+            rows = [batch.column(c).to_pylist() for c in ("loc", "size", "boundary", "count", "low", "words")]
+            for where, size, boundary, count, low, words in zip(*rows):
+                for b in range(boundary, boundary + 2 * size * count, 2 * size):
+                    first, end = tile_range(size, b, low + len(words))
+                    found += [(where, *f) for f in fragments(words[first - low : end - low], size, b - first, first)]
             if found:
                 locs, *numbers = zip(*found)
                 columns = [pa.array(locs, pa.string()), *[pa.array(c, pa.int32()) for c in numbers]]
