@@ -151,6 +151,7 @@ class Tokenizer:
         back = {c: b for b, c in enumerate(self._letters)}
         names = self._pieces.id_to_piece(list(range(size)))
         self._tokens = [bytes(back[c] for c in name) if all(c in back for c in name) else b"" for name in names]
+        self._whole = {name: i for i, name in enumerate(names)}
         self._ready = True
 
     def pre_tokens(self, text: str) -> Iterator[str]:
@@ -164,11 +165,10 @@ class Tokenizer:
     def _encode_new(self, pre_tokens: list[str]) -> Iterator[bytes]:
         """Packed ids of pre-tokens: one piece if the vocabulary has it whole, else merged."""
         lettered = [p.encode().decode("latin-1").translate(self._letters) for p in pre_tokens]
-        unknown = self._pieces.unk_id()
-        whole = self._pieces.piece_to_id(lettered)
-        merged = iter(self._pieces.encode([t for t, i in zip(lettered, whole) if i == unknown], out_type=int, num_threads=1))
+        whole = [self._whole.get(t) for t in lettered]
+        merged = iter(self._pieces.encode([t for t, i in zip(lettered, whole) if i is None], out_type=int, num_threads=1))
         for i in whole:
-            yield array("I", next(merged) if i == unknown else (i,)).tobytes()
+            yield array("I", next(merged) if i is None else (i,)).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
