@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from loadlens import constants as K
-from loadlens.plans.flows import apply_job, train_job
+from loadlens.plans.flows import score_job, train_job
 
 
 def main(words: list[str] | None = None) -> None:
@@ -38,10 +38,13 @@ def main(words: list[str] | None = None) -> None:
         report = train_job(
             spark, given.log, given.model, given.percentile, given.valid, given.valid_percentile, given.profile
         )
+        report.counts.show(truncate=False)
         report.error.show()
         report.profile.orderBy("bin").show(100)
     else:
-        apply_job(spark, given.log, given.model, given.out, given.key, given.profile, given.shift)
+        report = score_job(spark, given.log, given.model, given.out, given.key, given.profile, given.shift)
+        report.counts.show()
+        report.histogram.orderBy("bin").show(100)
 
 
 if __name__ == "__main__":

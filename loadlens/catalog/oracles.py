@@ -243,6 +243,15 @@ _GAPPY = """gappy AS (SELECT CASE WHEN IMPRESSION_ID % 31 <> 0 THEN IMPRESSION_I
   CASE WHEN IMPRESSION_ID % 7 <> 0 THEN IMPRESSION_ID % 2 = 0 END AS flag,
   CASE WHEN IMPRESSION_ID % 11 <> 0 AND IMPRESSION_ID % 13 <> 0 THEN ADLOADINGTIME END AS y,
   CASE WHEN IMPRESSION_ID % 17 <> 0 AND IMPRESSION_ID % 19 <> 0 THEN ADLOADINGTIME * 0.9 + 1 END AS p FROM typed)"""
+_TRIMMED = f"""halves AS (SELECT *, {_PART} AS train FROM {{source}}
+  WHERE ADLOADINGTIME < (SELECT quantile_cont(ADLOADINGTIME, 0.9525) FROM typed))"""
+
+
+def _forest_facts(trees: int, depth: int) -> str:
+    return f"""SELECT {trees}::INTEGER AS trees, {depth}::INTEGER AS wanted_depth, {min(depth, 30)}::INTEGER AS depth,
+      count(*) AS n, round(stddev_pop(ADLOADINGTIME), 4) AS baseline, TRUE AS all_in_range FROM halves WHERE NOT train"""
+
+
 _HALVES = f"halves AS (SELECT *, {_PART} AS train FROM production)"
 _SLOW_KEYS = f"slow AS (SELECT {_SEGMENT} FROM production GROUP BY ALL HAVING quantile_cont(ADLOADINGTIME, 0.5) > {SLOW})"
 _IS_SLOW = f"({_SEGMENT}) IN (SELECT ({_SEGMENT}) FROM slow)"
@@ -559,6 +568,19 @@ def all_oracles() -> dict[str, str]:
             f"medians AS (SELECT quantile_cont(ADLOADINGTIME, 0.5) AS y FROM production GROUP BY {_SEGMENT})",
             _edges("medians", "y"),
         ),
+        "hist_group_means": _prod(
+            f"""SELECT feature, b.bin, CAST(b.bin * {WIDTH} AS DOUBLE) AS lower, count(y) AS n
+            FROM (SELECT unnest(generate_series(0, n_edges - 2)) AS bin FROM edges) b CROSS JOIN (SELECT DISTINCT feature FROM means) f
+            LEFT JOIN (SELECT feature AS g, y, n_edges FROM means, edges) ON g = feature
+              AND (y >= b.bin * {WIDTH} AND y < (b.bin + 1) * {WIDTH} OR b.bin = n_edges - 2 AND y = (n_edges - 1) * {WIDTH}) GROUP BY ALL""",
+            "means AS ("
+            + " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, avg(ADLOADINGTIME) AS y FROM production GROUP BY {c}"
+                for c in ("COMBINEDID", "PLACEMENTID", "FILESJSON", "PLATFORMCOMBINED", "UA_BROWSER")
+            )
+            + ")",
+            _edges("means", "y"),
+        ),
         "nearest_edges": _typed(
             f"SELECT IMPRESSION_ID, {_NEAREST} AS bin FROM (SELECT IMPRESSION_ID, ADLOADINGTIME AS y FROM typed), edges",
             _edges("typed"),
@@ -723,6 +745,19 @@ def all_oracles() -> dict[str, str]:
             """scored AS (SELECT segment, y, coalesce(m, r) AS p FROM flagged
               LEFT JOIN means USING (segment, PLACEMENTID) JOIN usual USING (segment) WHERE NOT train)""",
         ),
+        "forest_spark_full": _typed(_forest_facts(50, 25), _SPARK, _TRIMMED.format(source="spark")),
+        "forest_train_full": _prod(_forest_facts(25, 50), _TRIMMED.format(source="production")),
+        "segmented_forests_full": _prod(
+            "SELECT segment, count(*) AS n, count(*) AS n_scored, round(stddev_pop(y), 4) AS baseline FROM flagged WHERE NOT train GROUP BY segment",
+            _HALVES,
+            f"""slow AS (SELECT PLACEMENTID, CREATIVETYPE, 1 AS s FROM halves WHERE train GROUP BY ALL
+              HAVING quantile_cont(ADLOADINGTIME, 0.5) > {SLOW})""",
+            f"""flagged AS (SELECT train, ADLOADINGTIME AS y, CASE WHEN s IS NULL THEN 'fast' ELSE 'slow' END AS segment
+              FROM halves LEFT JOIN slow USING (PLACEMENTID, CREATIVETYPE) WHERE ADLOADINGTIME < {CAP})""",
+        ),
+        "rebalanced_forest_full": _prod(
+            "SELECT count(*) AS n, count(*) AS n_scored, round(stddev_pop(ADLOADINGTIME), 4) AS baseline FROM halves WHERE NOT train", _HALVES
+        ),
         "train_apply_roundtrip": _raw("SELECT IMPRESSION_ID, TRUE AS same FROM ads"),
     }
     return sql

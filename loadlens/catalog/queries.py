@@ -380,6 +380,14 @@ def hist_group_medians(spark, folder):
     return histogram.histogram(medians, "median", WIDTH, edges=edges)
 
 
+@_query
+def hist_group_means(spark, folder):
+    """Of every feature, how its levels' means are spread."""
+    features = ["COMBINEDID", "PLACEMENTID", "FILESJSON", "PLATFORMCOMBINED", "UA_BROWSER"]
+    means = cut_lineage(groups.group_means(_prepared(spark, folder, features), features, K.TARGET))
+    return histogram.histograms_by(means, "feature", "mean", WIDTH, edges=histogram.edges_for(means, "mean", WIDTH))
+
+
 @_query
 def nearest_edges(spark, folder):
     df = _target(spark, folder)
@@ -762,6 +770,63 @@ def segmented_forests(spark, folder):
     )
 
 
+def _forest_facts(model: models.Model, train: DataFrame, test: DataFrame) -> DataFrame:
+    """Trees, rows, error of the mean, and whether each test row got a mean of training targets."""
+    low, high = train.agg(F.min(K.TARGET), F.max(K.TARGET)).first()
+    scored = model.predict(test, keep=[K.TARGET])
+    return scored.agg(
+        F.lit(model.about["trees"]).alias("trees"),
+        F.lit(model.about["wanted_depth"]).alias("wanted_depth"),
+        F.lit(model.about["depth"]).alias("depth"),
+        F.count("prediction").alias("n"),
+        _r(F.stddev_pop(K.TARGET), "baseline"),
+        (F.count_if(F.col("prediction").between(low - 1e-9, high + 1e-9)) == F.count("*")).alias("all_in_range"),
+    )
+
+
+#: Partitions of the learner's input in the full-size forests: its arrays per node and partition, not the rows, take the time here.
+FEW = 4
+
+
+def _full_forest(spark: SparkSession, folder: str, features: list[str], profile: str, settings: dict) -> DataFrame:
+    train, test = split.hash_split(_prepared(spark, folder, features, profile, K.TRIM_TRAIN), K.KEY, 0.5)
+    return _forest_facts(models.fit_forest(train, features, partitions=FEW, **settings), train, test)
+
+
+@_query
+def forest_spark_full(spark, folder):
+    """The single-file job's forest at its own size."""
+    return _full_forest(spark, folder, K.FEATURES_SPARK, "spark", K.FOREST_SPARK)
+
+
+@_query
+def forest_train_full(spark, folder):
+    """The train/validation job's forest at its own size."""
+    return _full_forest(spark, folder, K.FEATURES_RF, "production", K.FOREST_TRAIN)
+
+
+@_query
+def segmented_forests_full(spark, folder):
+    """One forest per segment at the exploration's sizes: rows per segment, and whether each has a prediction."""
+    df = _prepared(spark, folder, K.FEATURES_RF)
+
+    def forest(settings):
+        return lambda rows, names: models.fit_forest(rows, names, partitions=FEW, **settings)
+
+    scored = flows.segmented_models(
+        df, K.FEATURES_RF, group_keys=["PLACEMENTID", "CREATIVETYPE"], above=SLOW, cap=CAP, fit_fast=forest(K.FOREST_EXPLORE), fit_slow=forest(K.FOREST_SLOW)
+    )
+    return scored.groupBy("segment").agg(F.count("*").alias("n"), F.count("prediction").alias("n_scored"), _r(F.stddev_pop(K.TARGET), "baseline"))
+
+
+@_query
+def rebalanced_forest_full(spark, folder):
+    """The rebalanced training at the exploration's size: test rows and their predictions."""
+    df = _prepared(spark, folder, K.FEATURES_RF)
+    _, scored = flows.rebalanced_forest(df, K.FEATURES_RF, width=WIDTH, per_bin=PER_BIN, partitions=FEW, **K.FOREST_EXPLORE)
+    return scored.agg(F.count("*").alias("n"), F.count("prediction").alias("n_scored"), _r(F.stddev_pop(K.TARGET), "baseline"))
+
+
 @_query
 def rf_predict(spark, folder):
     df = _prepared(spark, folder, K.FEATURES_SPARK, "spark", K.TRIM_TRAIN)
