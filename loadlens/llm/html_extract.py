@@ -24,7 +24,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _RAW = "script|style|noscript|template|textarea|svg|math|iframe|object|canvas|video|audio|xmp"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-z!?][^<>]*(?:>|(?=<)|\Z)|<[!?/][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/])[^>]*/>|<({_RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][\w:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-z!?][^<>]*(?:>|(?=<)|\Z)|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _NAME = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -36,6 +36,12 @@ _NOISE_NAMES = frozenset(
     "reply responses search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
 _MAIN_TAGS = frozenset(("article", "main"))
+#: Elements that hold the page or the article: their names never make them boilerplate.
+_WHOLE_TAGS = frozenset(("article", "body", "html", "main"))
+#: A name that begins so tells a state of its element, not what it is.
+_STATES = frozenset("has is js no not on with without".split())
+#: What may follow the kind in a name without changing it.
+_HOLDERS = frozenset("area bar block body box container content footer form group header holder inner item items link links list panel row section slot thread top unit widget wrap wrapper".split())
 _MAIN_NAMES = frozenset("article content entry main post story".split())
 
 #: Pages whose weight the tree of all hosts has against the tree of one host.
@@ -45,12 +51,31 @@ PRESENTATION = 0.1
 KEEP_ABOVE = 0.5
 
 
+def _kind(name: str) -> int:
+    """-1 for a name of boilerplate, 1 of content, 0 for any other.
+
+    A name of several parts is what its last part says (``site-footer``), or
+    its first one before a mere holder (``comment-list``).
+    """
+    parts = [w for w in re.split(r"[^a-z]+", name.lower()) if w]
+    if not parts or parts[0] in _STATES:
+        return 0
+    while len(parts) > 1 and parts[-1] in _HOLDERS and parts[-1] not in _NOISE_NAMES:
+        parts.pop()
+    return -1 if parts[-1] in _NOISE_NAMES else 1 if parts[-1] in _MAIN_NAMES else 0
+
+
 def _role(tag: str, names: list[str]) -> int:
-    """-1 for boilerplate by kind, 1 for content, 0 where only the pages can tell."""
-    words = {w for n in names for w in re.split(r"[^a-z]+", n.lower()) if w}
-    if tag in _NOISE_TAGS or words & _NOISE_NAMES:
+    """-1 for boilerplate by kind, 1 for content, 0 where only the pages can tell.
+
+    A name of content on an element outweighs one of boilerplate.
+    """
+    if tag in _NOISE_TAGS:
         return -1
-    return 1 if tag in _MAIN_TAGS or words & _MAIN_NAMES else 0
+    kinds = {_kind(word) for n in names for word in n.split()}
+    if tag in _MAIN_TAGS or 1 in kinds:
+        return 1
+    return -1 if -1 in kinds and tag not in _WHOLE_TAGS else 0
 
 
 def blocks_of(page: str) -> list[tuple[str, int, str]]:
