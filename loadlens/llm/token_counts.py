@@ -139,9 +139,26 @@ def build_trees(docs: DataFrame, loc: str = "loc", vocabulary: str = VOCABULARY)
     return rows.mapInPandas(run, _TREE)
 
 
-#: What a clean-up step masks: mail addresses, long hexadecimal secrets, long numbers.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+
+
+def mail_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Mail addresses, from each ``@`` to both sides: every character is looked at a bounded number of times."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        after, start = _DOMAIN.match(text, at + 1), at
+        if after:
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            if start < at:
+                yield start, after.end()
+                done = after.end()
+        at = text.find("@", max(at + 1, done))
+
+
+#: What a clean-up step masks beside mail addresses: long hexadecimal secrets, long numbers.
 MASKS = (
-    (re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), "<EMAIL>"),
     (re.compile(r"\b[0-9A-Fa-f]{24,}\b"), "<SECRET>"),
     (re.compile(r"(?<![\w.])\+?\d[\d ()-]{6,}\d(?!\w)"), "<NUMBER>"),
 )
@@ -152,9 +169,9 @@ def mask_edits(text: str) -> list[tuple[int, int, str]]:
     """Replacements that mask a text; where two overlap the earlier, then longer one counts."""
     found: list[tuple[int, int, str]] = []
     digits = _DIGIT.search(text) is not None
-    for k, (pattern, new) in enumerate(MASKS):
-        if ("@" in text) if k == 0 else digits:
-            found += [(*m.span(), new) for m in pattern.finditer(text)]
+    found += [(a, b, "<EMAIL>") for a, b in mail_spans(text)]
+    if digits:
+        found += [(*m.span(), new) for pattern, new in MASKS for m in pattern.finditer(text)]
     kept: list[tuple[int, int, str]] = []
     for edit in sorted(found, key=lambda e: (e[0], -e[1])):
         if not kept or edit[0] >= kept[-1][1]:
