@@ -89,7 +89,7 @@ def _scan_block(docs: DataFrame, items: list[tuple[str, str]], window: int) -> D
                 words = words_of(text)
                 runs, found = finder.scan(words)
                 spans = [{"start": a, "end": b} for a, b in original_spans(text, runs)]
-                rows.append((doc_id, loc, len(words), runs, sorted(found), spans))
+                rows.append((doc_id, loc, len(words), runs, sorted(found - {None}), spans))
             out = pd.DataFrame(rows, columns=["doc_id", "loc", "n_words", "runs", "items", "spans"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
@@ -99,7 +99,7 @@ def _scan_block(docs: DataFrame, items: list[tuple[str, str]], window: int) -> D
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
     """The items in blocks of bounded size; one block at a time is on the driver."""
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), whole_text().alias("text")).where("item IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), whole_text().alias("text"))
     size = F.octet_length("text") + 16
     total = rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     n = max(1, -(-total // block_bytes))
@@ -119,7 +119,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, loc: str = "loc", window: int =
     shorter item is one pattern, an item without words none. A benchmark
     beyond ``block_bytes`` is cut into blocks of items, each with its own
     automaton, and the hits are merged per document. NULL text has no words,
-    rows of an item without id are left out, repeated rows give repeated rows.
+    an item without id hits words but is not listed, repeated rows give repeated rows.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(loc).alias("loc"), whole_text().alias("text"))
