@@ -19,8 +19,8 @@ LENGTH = 100
 #: Every such string holds an anchor: the smallest hash among its strings of this many bytes.
 GRAM = 32
 _GRAMS = LENGTH - GRAM + 1
-#: Larger groups around one anchor are not sorted in one task but compared window by window.
-SORTED_GROUP = 100
+#: Kinds in a group around one anchor that one task sorts: a megabyte or two. Larger groups are compared window by window.
+SORTED_GROUP = 5_000
 #: In such groups so many neighbouring windows are compared at once before single ones are.
 _BLOCK = 8
 #: Bytes that are hashed, and symbols that are sorted, at once.
@@ -400,7 +400,7 @@ def remove_repeats(docs: DataFrame, loc: str = "loc", sorted_group: int = SORTED
     body = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(loc).alias("loc"), o.alias("o"), F.xxhash64(loc).alias("t"), whole_text().alias("text"))
     plain = write_table(body.select("loc", "doc_id", "o", "t", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "texts")
     firsts = plain.groupBy("sha").agg(F.min(F.struct("o", "t")).alias("first"), F.count(F.lit(1)).alias("n"))
-    same = firsts.where("n > 1").select("sha", "first")
+    same = measured(write_table(firsts.where("n > 1").select("sha", "first"), "same"))
     copies = write_table(plain.join(same, "sha").where(F.struct("o", "t") != F.col("first")).select("o", "t"), "copies")
     texts = body.select("o", "t", "text").where(F.octet_length("text") >= LENGTH).join(measured(copies), ["o", "t"], "left_anti")
     cut = _removals(texts, repeated_windows(texts, sorted_group))
