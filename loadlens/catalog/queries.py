@@ -785,7 +785,7 @@ def _forest_facts(model: models.Model, train: DataFrame, test: DataFrame) -> Dat
 
 
 #: Partitions of the learner's input in the full-size forests: its arrays per node and partition, not the rows, take the time here.
-FEW = 4
+FEW = 2
 
 
 def _full_forest(spark: SparkSession, folder: str, features: list[str], profile: str, settings: dict) -> DataFrame:
