@@ -107,8 +107,10 @@ def write_tsv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
     if texts:
         # One look at the whole line instead of one at each field.
         line = F.concat_ws("", *[F.col(f"`{c}`") for c in texts])
-        broken = F.raise_error(F.concat(F.lit("tab or line break in: "), line)).cast("string")
-        checked = [F.when(F.translate(line, "\t\n\r", "") != line, broken).otherwise(c).alias(n) if n == texts[0] else c for c, n in zip(checked, df.columns)]
+        bad = lambda text: F.translate(text, "\t\n\r", "") != text
+        told = F.coalesce(*[F.when(bad(F.col(f"`{c}`")), F.concat(F.lit(f"{c}: "), F.col(f"`{c}`"))) for c in texts])
+        broken = F.raise_error(F.concat(F.lit("tab or line break in column "), told)).cast("string")
+        checked = [F.when(bad(line), broken).otherwise(c).alias(n) if n == texts[0] else c for c, n in zip(checked, df.columns)]
     (
         df.select(*checked)
         .write.mode(mode)
