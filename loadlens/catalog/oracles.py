@@ -242,7 +242,7 @@ _DRAW = "CAST('0x' || substr(md5('1|' || IMPRESSION_ID), 1, 13) AS BIGINT)"
 _GAPPY = """gappy AS (SELECT CASE WHEN IMPRESSION_ID % 31 <> 0 THEN IMPRESSION_ID END AS id, CASE WHEN IMPRESSION_ID % 5 <> 0 THEN PLACEMENTID END AS place,
   CASE WHEN IMPRESSION_ID % 7 <> 0 THEN IMPRESSION_ID % 2 = 0 END AS flag,
   CASE WHEN IMPRESSION_ID % 11 <> 0 AND IMPRESSION_ID % 13 <> 0 THEN ADLOADINGTIME END AS y,
-  CASE WHEN IMPRESSION_ID % 17 <> 0 AND IMPRESSION_ID % 19 <> 0 THEN ADLOADINGTIME * 0.9 + 1 END AS p FROM typed)"""
+  CASE WHEN IMPRESSION_ID % 17 <> 0 AND IMPRESSION_ID % 19 <> 0 THEN sqrt(abs(ADLOADINGTIME)) + 1 END AS p FROM typed)"""
 _TRIMMED = f"""halves AS (SELECT *, {_PART} AS train FROM {{source}}
   WHERE ADLOADINGTIME < (SELECT quantile_cont(ADLOADINGTIME, 0.9525) FROM typed))"""
 

@@ -485,7 +485,7 @@ def _gappy(spark: SparkSession, folder: str) -> DataFrame:
         F.when(i % 5 != 0, F.col("PLACEMENTID")).alias("place"),
         F.when(i % 7 != 0, i % 2 == 0).alias("flag"),
         F.when(i % 11 == 0, nan).when(i % 13 != 0, F.col(K.TARGET)).alias("y"),
-        F.when(i % 17 == 0, nan).when(i % 19 != 0, F.col(K.TARGET) * 0.9 + 1).alias("p"),
+        F.when(i % 17 == 0, nan).when(i % 19 != 0, F.sqrt(F.abs(F.col(K.TARGET))) + 1).alias("p"),
     )
 
 
