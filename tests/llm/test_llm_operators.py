@@ -216,6 +216,38 @@ def test_suffix_dedup_against_brute_force(spark, group):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("group", [100, 2])
+def test_suffix_dedup_rows_of_one_id(spark, group):
+    """Earlier is a smaller id or the same row: rows that come twice, or share an id, lose nothing to one another."""
+    rng = random.Random(5)
+    passages = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([99, 130, 400]))) for _ in range(5)] + ["z" * 180]
+    rows = []
+    for i in range(50):
+        parts = [rng.choice(passages) if rng.random() < 0.6 else "".join(rng.choice("xyz ") for _ in range(rng.randrange(80))) for _ in range(4)]
+        rows.append((i // rng.choice([1, 2, 9]), "".join(parts)))
+    rows += [*rows[::7], (None, rows[3][1]), (None, rows[3][1] + passages[0]), (None, rows[3][1] + "end")]
+    order = [float("inf") if i is None else i for i, _ in rows]
+    least = {}
+    for place, (_, text) in zip(order, rows):
+        raw = text.encode()
+        for s in range(len(raw) - 99):
+            least[raw[s : s + 100]] = min(place, least.get(raw[s : s + 100], place))
+    wanted = []
+    for place, (i, text) in zip(order, rows):
+        raw, own = text.encode(), set()
+        gone = bytearray(len(raw))
+        for s in range(len(raw) - 99):
+            w = raw[s : s + 100]
+            if least[w] < place or w in own:
+                gone[s : s + 100] = b"\1" * 100
+            own.add(w)
+        left = bytes(b for b, g in zip(raw, gone) if not g)
+        wanted.append((i, len(raw), sum(gone), len(gone.replace(b"\0", b" ").split()), hashlib.sha256(left).hexdigest()))
+    docs = located(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    got = suffix_dedup.remove_repeats(docs, sorted_group=group).collect()
+    assert sorted(map(str, wanted)) == sorted(str((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got)
+
+
 def test_suffix_dedup_odd_rows(spark):
     got = suffix_dedup.remove_repeats(located(odd_docs(spark), "at"), "at").collect()
     by_id = {r.doc_id: r for r in got if r.doc_id}
