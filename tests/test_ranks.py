@@ -1,5 +1,7 @@
 """Counting search against numpy, with hot groups and awkward values."""
 
+import statistics
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -152,3 +154,19 @@ def test_missing_values_have_no_bin(spark):
     bins = {r.i: r.b for r in df.select("i", nearest_edge(F.col("v"), 1.0, 8).alias("b")).collect()}
     assert bins == {1: 0, 2: None, 3: None, 4: 7, 5: 7}
     assert {r.i for r in rebalance(df, "v", "i", 1.0, 2, 0, "clean").collect()} == {1, 4, 5}
+
+
+def test_short_groups_are_ordered_without_a_sketch(spark):
+    """Nearly a group per row: one grouping, no sketch, no search and no join; long groups beside them keep theirs."""
+    rows = [(i // 2, float(i % 7) if i % 5 else None) for i in range(600)]
+    short = spark.createDataFrame(rows, "g long, v double")
+    found = group_spread(short, ["g"], "v")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "kll" not in plan and "join" not in plan
+    both = group_spread(short.unionByName(spark.range(5000).selectExpr("-1 as g", "cast(id as double) as v")), ["g"], "v")
+    for df, extra in ((found, {}), (both, {-1: [float(i) for i in range(5000)]})):
+        values = {g: [v for k, v in rows if k == g and v is not None] for g in range(300)} | extra
+        got = {r.g: r for r in df.collect()}
+        assert got.keys() == values.keys()
+        for g, v in values.items():
+            assert got[g].n == len(v) and got[g].median == (statistics.median(v) if v else None)
