@@ -160,10 +160,10 @@ def test_short_groups_are_ordered_without_a_sketch(spark):
     """Nearly a group per row: one grouping, no sketch, no search and no join; long groups beside them keep theirs."""
     rows = [(i // 2, float(i % 7) if i % 5 else None) for i in range(600)]
     short = spark.createDataFrame(rows, "g long, v double")
-    found = group_spread(short, ["g"], "v")
+    found = group_spread(short, ["g"], "v", many=True)
     plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
     assert "kll" not in plan and "join" not in plan
-    both = group_spread(short.unionByName(spark.range(5000).selectExpr("-1 as g", "cast(id as double) as v")), ["g"], "v")
+    both = group_spread(short.unionByName(spark.range(5000).selectExpr("-1 as g", "cast(id as double) as v")), ["g"], "v", many=True)
     for df, extra in ((found, {}), (both, {-1: [float(i) for i in range(5000)]})):
         values = {g: [v for k, v in rows if k == g and v is not None] for g in range(300)} | extra
         got = {r.g: r for r in df.collect()}
