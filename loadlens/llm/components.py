@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import write_table
+from loadlens.llm.common import unsent, write_table
 
 
 def _minimum(pairs: DataFrame) -> DataFrame:
     """(a, b) with the smallest of a and its b's as ``m``."""
     least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return pairs.join(least, "a")
+    return pairs.join(unsent(least), "a")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

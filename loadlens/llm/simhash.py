@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadlens.llm.common import free_name, keep_located, located, small_batches, whole_text, write_table
+from loadlens.llm.common import free_name, keep_located, located, small_batches, unsent, whole_text, write_table
 from loadlens.llm.components import connected_components
 
 SHINGLE = 3
@@ -101,9 +101,9 @@ def links(distinct: DataFrame, paired_cell: int = PAIRED_CELL) -> DataFrame:
     fp, cell = F.col("fp"), F.col("cell")
     laid = distinct.select("fp", cell_of(fp).alias("own")).select("fp", "own", F.explode(_cells_near(fp, F.col("own"))).alias("cell"))
     full = laid.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    meeting = write_table(laid.join(full, "cell"), "cells")
+    meeting = write_table(laid.join(unsent(full), "cell"), "cells")
     few = meeting.where(F.col("size") <= paired_cell).select("cell", "fp")
-    pairs = few.select("cell", fp.alias("a")).join(few.select("cell", fp.alias("b")), "cell").where("a < b")
+    pairs = few.select("cell", fp.alias("a")).join(unsent(few.select("cell", fp.alias("b"))), "cell").where("a < b")
     near = pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS).select("a", "b")
     many = meeting.where(F.col("size") > paired_cell)
     spread = many.select("fp", F.explode(_midpoints(fp, F.col("own"), cell)).alias("mid"))
@@ -125,10 +125,10 @@ def near_duplicates(docs: DataFrame, loc: str = "loc", words: int = SHINGLE) ->
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "loc")
     classes = write_table(prints.groupBy("fp").agg(F.min(order).alias("first")), "classes")
     roots = connected_components(links(classes.select("fp")))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = classes.join(unsent(roots.withColumnRenamed("node", "fp")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     best = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    labels = rooted.select("fp", "root").join(best, "root").select("fp", "first")
-    return prints.join(labels, "fp").select(
+    labels = rooted.select("fp", "root").join(unsent(best), "root").select("fp", "first")
+    return prints.join(unsent(labels), "fp").select(
         "loc", "doc_id", "fp", F.col("first.doc_id").alias("component_id"), F.col("first.loc").alias("first_loc")
     )
 
