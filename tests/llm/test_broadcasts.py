@@ -31,3 +31,10 @@ def test_near_duplicates_broadcast_no_table_of_rows(spark, plans):
     plans.append(found._jdf.queryExecution().executedPlan().toString())
     assert sum("SortMergeJoin" in p for p in plans) > 2
     assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_kept_rows_are_not_broadcast(spark):
+    docs = common.located(texts(spark))
+    kept = common.keep_located(docs, "loc", docs.where("doc_id < 7").select("loc"))
+    assert "Broadcast" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(7))
