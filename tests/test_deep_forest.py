@@ -128,3 +128,16 @@ def test_segments_and_rebalanced_rows_with_deep_forests(log):
     assert scored.count() == n == scored.filter("prediction is not null").count()
     model, scored = flows.rebalanced_forest(log, ["g", "x"], per_bin=40, **deep)
     assert model.forest is not None and scored.count() == hash_split(log, K.KEY, 0.5)[1].count()
+
+
+def test_only_nodes_of_several_values_are_searched(monkeypatch):
+    """Leaves of one value were searched for a split as the other nodes are."""
+    rng = np.random.default_rng(2)
+    x, w = rng.integers(0, 50, (2000, 4)).astype("<u2"), np.ones(2000)
+    y = (x[:, 0] > 30).astype(float)
+    searched, real = [], deep_forest._subsets
+    monkeypatch.setattr(deep_forest, "_subsets", lambda trees, nodes, *more: searched.extend(nodes) or real(trees, nodes, *more))
+    nodes = deep_forest._grow(x, y, y * w, w, 1, 1, deep_forest.Settings(1, 30, 64, 1.0, 2, 1))
+    inner = nodes["feature"] >= 0
+    assert inner.any() and set(nodes["value"][~inner]) == {0.0, 1.0}
+    assert len(searched) == inner.sum() < len(nodes)
